@@ -86,6 +86,7 @@ def exact_quantile(
         lower.alias("_lo"), upper.alias("_hi"), F.max("_pos").alias("_pos")
     )
     share = F.col("_pos") - F.floor("_pos")
+    between = F.col("_lo") * (F.lit(1.0) - share) + F.col("_hi") * share
     return result.select(
-        *keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share).alias(out)
+        *keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between).alias(out)
     )

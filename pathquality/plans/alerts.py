@@ -49,10 +49,10 @@ RULES = {
 
 def branch_degraded(
     quality: DataFrame, branches: DataFrame, now: datetime, minutes: int = 3,
-    min_sessions: int = 10,
+    min_sessions: int = 10, factor: float = 3.0,
 ) -> DataFrame:
-    """A branch's own network failing: at least 20 % and three times the estate's rate, so a
-    shared cause does not raise one alert per branch. Labels come from the inventory, so a
+    """A branch's own network failing: at least 20 % and `factor` times the estate's rate, so
+    a shared cause does not raise one alert per branch. Labels come from the inventory, so a
     failover does not change an alert's identity."""
     rows = quality.filter(last_minutes(F.col("minute"), now, minutes))
     estate = rows.agg(percent(F.sum("net_degraded"), F.sum("sessions"))).scalar()
@@ -64,7 +64,7 @@ def branch_degraded(
     )
     judged = per_branch.withColumn(
         "net_degraded_pct",
-        F.when(F.col("pct") >= F.greatest(F.lit(20.0), F.lit(3.0) * estate), F.col("pct"))
+        F.when(F.col("pct") >= F.greatest(F.lit(20.0), F.lit(factor) * estate), F.col("pct"))
         .otherwise(0.0),
     )
     return lookup(

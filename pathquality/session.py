@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: safe to set on a session somebody else created.
 RUNTIME_CONF = {
@@ -47,3 +50,24 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     if fallback is None:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
     return fallback
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute once and cut the lineage, in the folder the cluster shares. Executors may be
+    lost afterwards: the rows are in the file system, not in their memory."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="pathquality-"))
+    return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one (a temporary one in local sessions)."""
+    fallback = None
+    if spark.sparkContext.master.startswith("local"):
+        fallback = tempfile.gettempdir()
+    return f"{shared_folder(spark, fallback).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from .registry import ORACLES, QUERIES, Query
 
-MODULES = ("flows",)
+MODULES = ("flows", "service")
 
 
 class Registered(NamedTuple):

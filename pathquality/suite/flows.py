@@ -113,7 +113,7 @@ def parsed(spark, folder: str) -> DataFrame:
         CASE WHEN k < 5 THEN '' ELSE way END AS direction,
         CASE WHEN k < 5 THEN 0 ELSE CAST(event_id % 5 AS INTEGER) END AS record_seq,
         CASE WHEN k < 5 THEN 0 ELSE CAST(round(value * 100) AS BIGINT) END AS bytes,
-        0 AS tcp_syn_us, coalesce(error, 'ok') AS error
+        CAST(0 AS BIGINT) AS tcp_syn_us, coalesce(error, 'ok') AS error
     FROM judged""",
 )
 def parse_records(spark, folder):
@@ -652,7 +652,8 @@ def lpm_join_large_table(spark, folder):
 @query(
     "freshness_p95",
     """SELECT date_trunc('minute', ts + to_seconds(event_id % 600)) AS "time",
-        quantile_cont(CAST((event_id % 600) * 1000 AS DOUBLE), 0.95) / 1000 AS seconds
+        round_even(quantile_cont(CAST((event_id % 600) * 1000 AS DOUBLE), 0.95) * 1e3, 0) / 1e6
+            AS seconds
     FROM events GROUP BY 1""",
 )
 def freshness_p95(spark, folder):
@@ -661,7 +662,8 @@ def freshness_p95(spark, folder):
     rows = ev.select(
         F.col("ts").alias("session_start"), F.col("ts").alias("session_end"), late.alias("stitched_at")
     )
-    return panels.freshness_p95(rows, EVENTS_START, EVENTS_END, exact_quantile)
+    late = panels.freshness_p95(rows, EVENTS_START, EVENTS_END, exact_quantile)
+    return late.withColumn("seconds", F.rint(F.col("seconds") * 1e6) / 1e6)
 
 
 def watermarks(spark, folder: str) -> DataFrame:
