@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from .registry import ORACLES, QUERIES, Query
 
-MODULES = ("flows", "service")
+MODULES = ("flows", "service", "estate")
 
 
 class Registered(NamedTuple):
