@@ -1,92 +1,86 @@
-"""Exact quantiles per key without ever holding one key's values in one place."""
+"""Exact quantiles per key without sorting or collecting a key's values."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialise
+from .sizing import fits_broadcast
+
+ACCURACY = 5_000  # of the bracketing sketch: its rank error is at most n / ACCURACY
+SMALL = 4_000  # keys with fewer values are ranked whole
+
 
 def exact_quantile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    q: float,
-    out: str = "q",
-    slots: int = 128,
+    df: DataFrame, keys: Sequence[str], value: str, q: float, out: str = "q"
 ) -> DataFrame:
     """Interpolated quantile of the non-NULL values, one row per key that has any.
 
-    1. Equal values are counted together (this shuffles on key and value: no hot key).
-    2. Every key's value range is cut into `slots` of about equally many distinct values.
-    3. Running totals over a key's slots find the one or two slots holding the wanted
-       ranks; only their values are ordered.
+    A first pass brackets the wanted ranks per key with a mergeable sketch. The second pass
+    counts everything below and above the bracket into one row each before it is shuffled,
+    so only the values inside (well under one percent of a large key) move and are ordered.
+    The result does not depend on the sketch: ranks are counted, and a bracket that missed
+    would stop the query.
     """
     keys = list(keys)
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+    slack = 5 / ACCURACY + 2 / SMALL
+    low, high = max(q - slack, 0.0), min(q + slack, 1.0)
+    sketch = F.percentile_approx("_x", [low, high], ACCURACY)
+    bracket = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), sketch.alias("_b"))
+
+    def bound(index: int, open_ended: bool) -> Column:
+        whole = F.lit(open_ended) | (F.col("_n") <= SMALL)
+        return F.when(~whole, F.col("_b")[index])  # NULL: no bound
+
+    bracket = materialise(bracket.select(*keys, bound(0, low == 0).alias("_lo"), bound(1, high == 1).alias("_hi")))
+    side = F.when(F.col("_x") < F.col("_lo"), -1).when(F.col("_x") > F.col("_hi"), 1).otherwise(0)
     counted = (
-        df.filter(F.col(value).isNotNull())
-        .select(*keys, F.col(value).cast("double").alias("_x"))
-        .groupBy(*keys, "_x")
+        _with_bounds(rows, bracket, keys)
+        .select(*keys, side.alias("_side"), "_x")
+        .withColumn("_x", F.when(F.col("_side") == 0, F.col("_x")))
+        .groupBy(*keys, "_side", "_x")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    points = [i / slots for i in range(1, slots)]
-    cuts = counted.groupBy(*keys).agg(
-        F.percentile_approx("_x", points, slots * 8).alias("_cuts")
-    )
-    in_slot = F.size(F.filter("_cuts", lambda c: c < F.col("_x"))).alias("_slot")
-    if keys:
-        same_key = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-        slotted = (
-            counted.alias("a")
-            .join(cuts.alias("b"), same_key)
-            .select(*[F.col(f"a.{k}").alias(k) for k in keys], "_x", "_c", "_cuts")
-            .select(*keys, "_x", "_c", in_slot)
-        )
-    else:  # one row of at most `slots` numbers
-        bounds = cuts.first()["_cuts"] or []
-        literal = F.array(*[F.lit(b) for b in bounds]).cast("array<double>")
-        slotted = counted.withColumn("_cuts", literal).select("_x", "_c", in_slot)
-    per_slot = slotted.groupBy(*keys, "_slot").agg(F.sum("_c").alias("_n"))
-    by_slot = W.partitionBy(*keys).orderBy("_slot")
-    ranks = per_slot.select(
-        *keys,
-        "_slot",
-        F.sum("_n").over(by_slot.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_upto"),
-        F.col("_n"),
-        F.sum("_n").over(W.partitionBy(*keys)).alias("_all"),
-    ).withColumns(
-        {
-            "_before": F.col("_upto") - F.col("_n"),
-            "_pos": (F.col("_all") - 1) * F.lit(float(q)),
-        }
-    )
-    lo, hi = F.floor("_pos"), F.ceil("_pos")  # zero-based ranks around the position
-    wanted = ranks.filter(
-        ((F.col("_before") <= lo) & (lo < F.col("_upto")))
-        | ((F.col("_before") <= hi) & (hi < F.col("_upto")))
-    ).select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_slot").alias("_w_slot"), "_before", "_pos")
-    on = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys] + [F.col("_slot") == F.col("_w_slot")]
-    inside = W.partitionBy(*keys, "_slot").orderBy("_x")
-    placed = slotted.join(wanted, on).select(
-        *keys,
-        "_x",
-        "_pos",
-        "_c",
-        (
-            F.col("_before")
-            + F.sum("_c").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
-        ).alias("_end"),
+    return _pick(counted, keys, q, out)
+
+
+def _with_bounds(rows: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
+    if not keys:
+        only = bracket.first()  # one row: the bracket of all values
+        return rows.withColumns({c: F.lit(only[c]).cast("double") for c in ("_lo", "_hi")})
+    renamed = bracket.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", "_hi")
+    if fits_broadcast(renamed):
+        renamed = F.broadcast(renamed)
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(renamed, on)
+
+
+def _pick(counted: DataFrame, keys: list[str], q: float, out: str) -> DataFrame:
+    """Find the two zero-based ranks around the position and interpolate."""
+    per_key = W.partitionBy(*keys)
+    running = per_key.orderBy("_side", "_x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = counted.select(
+        *keys, "_side", "_x", "_c",
+        F.sum("_c").over(running).alias("_end"),
+        ((F.sum("_c").over(per_key) - 1) * F.lit(float(q))).alias("_pos"),
     )
-    covers = lambda rank: (F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end"))
-    lower = F.max(F.when(covers(F.floor("_pos")), F.col("_x")))
-    upper = F.max(F.when(covers(F.ceil("_pos")), F.col("_x")))
+
+    def at(rank: Column) -> Column:
+        here = (F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end"))
+        missed = F.raise_error(F.lit("quantile bracket missed the wanted rank"))
+        found = F.when(F.col("_side") == 0, F.col("_x")).otherwise(missed.cast("double"))
+        return F.max(F.when(here, found))
+
     result = placed.groupBy(*keys).agg(
-        lower.alias("_lo"), upper.alias("_hi"), F.max("_pos").alias("_pos")
+        at(F.floor("_pos")).alias("_lower"), at(F.ceil("_pos")).alias("_upper"),
+        F.max("_pos").alias("_pos"),
     )
     share = F.col("_pos") - F.floor("_pos")
-    between = F.col("_lo") * (F.lit(1.0) - share) + F.col("_hi") * share
-    return result.select(
-        *keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between).alias(out)
-    )
+    between = F.col("_lower") * (F.lit(1.0) - share) + F.col("_upper") * share
+    same = F.col("_lower") == F.col("_upper")
+    return result.select(*keys, F.when(same, F.col("_lower")).otherwise(between).alias(out))

@@ -7,10 +7,10 @@ partials happen to be split or compacted.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import sketches as sk
+from ..operators.keyed import bounded_distinct
 from ..operators.path import PATH_COLUMNS, explode_path
 
 QUALITY_KEYS = (
@@ -21,7 +21,7 @@ QUALITY_SUMS = (
     "sessions", "degraded", "net_degraded", "bytes", "packets", "retrans", "quality_sum",
 )
 ELEMENT_KEYS = ("minute", "element_type", "element_id")
-MAX_APPS = 16
+APPS, MAX_APPS = "degraded_apps", 16
 
 
 def minute_of(moment: Column | str) -> Column:
@@ -65,23 +65,18 @@ def element_1m(
 ) -> DataFrame:
     """The same sessions seen from every element on their path.
 
-    Grouped by application first: a row per application makes the bounded list of degraded
-    applications a rank over few rows, and the second grouping reuses that partitioning.
+    The bounded list of degraded applications is ranked from the degraded sessions alone,
+    on the same keys, so it meets the counts without another shuffle.
     """
-    keep = [minute_of(moment).alias("minute")]
-    crossed = explode_path(
-        sessions,
-        [
-            *keep,
-            F.col("app").alias("via_app"),
-            "branch_id",
-            "device_id",
-            "degraded",
-            F.col("response_ms").alias("response"),
-        ],
-        path,
-    )
-    by_app = crossed.groupBy(*ELEMENT_KEYS, "via_app").agg(
+    keep = [
+        minute_of(moment).alias("minute"),
+        F.col("app").alias("via_app"),
+        "branch_id",
+        "device_id",
+        "degraded",
+        F.col("response_ms").alias("response"),
+    ]
+    counted = explode_path(sessions, keep, path).groupBy(*ELEMENT_KEYS).agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if("degraded").alias("degraded"),
         sk.quantile_state(F.col("response")).alias("response_ms"),
@@ -89,30 +84,11 @@ def element_1m(
         sk.distinct_state(_on("degraded", F.col("device_id"))).alias("degraded_devices"),
         sk.distinct_state(_on("degraded", F.col("branch_id"))).alias("degraded_branches"),
     )
-    hit_first = W.partitionBy(*ELEMENT_KEYS).orderBy((F.col("degraded") > 0).desc(), "via_app")
-    ranked = by_app.withColumn("pos", F.row_number().over(hit_first))
-    listed = (F.col("degraded") > 0) & (F.col("pos") <= MAX_APPS)
-    return ranked.groupBy(*ELEMENT_KEYS).agg(
-        F.sum("sessions").alias("sessions"),
-        F.sum("degraded").alias("degraded"),
-        sk.merge_quantiles(F.col("response_ms")).alias("response_ms"),
-        sk.merge_distinct(F.col("devices")).alias("devices"),
-        sk.merge_distinct(F.col("degraded_devices")).alias("degraded_devices"),
-        sk.merge_distinct(F.col("degraded_branches")).alias("degraded_branches"),
-        F.array_sort(F.collect_list(F.when(listed, F.col("via_app")))).alias("degraded_apps"),
-    )
+    hit = explode_path(sessions.filter("degraded"), keep[:2], path)
+    return _with_apps(counted, bounded_distinct(hit, ELEMENT_KEYS, "via_app", MAX_APPS, APPS))
 
 
 def merge_element(partials: DataFrame) -> DataFrame:
-    """Partials of one element and minute come from few batches, and each carries at most
-    MAX_APPS names, so the lists are merged as distinct names first."""
-    names = partials.select(*ELEMENT_KEYS, F.explode("degraded_apps").alias("name")).distinct()
-    ranked = names.withColumn(
-        "pos", F.row_number().over(W.partitionBy(*ELEMENT_KEYS).orderBy("name"))
-    ).filter(F.col("pos") <= MAX_APPS)
-    lists = ranked.groupBy(*ELEMENT_KEYS).agg(
-        F.array_sort(F.collect_list("name")).alias("degraded_apps")
-    )
     merged = partials.groupBy(*ELEMENT_KEYS).agg(
         F.sum("sessions").alias("sessions"),
         F.sum("degraded").alias("degraded"),
@@ -121,6 +97,12 @@ def merge_element(partials: DataFrame) -> DataFrame:
         sk.merge_distinct(F.col("degraded_devices")).alias("degraded_devices"),
         sk.merge_distinct(F.col("degraded_branches")).alias("degraded_branches"),
     )
-    return merged.join(lists, list(ELEMENT_KEYS), "left").withColumn(
-        "degraded_apps", F.coalesce("degraded_apps", F.array().cast("array<string>"))
+    names = partials.select(*ELEMENT_KEYS, F.explode(APPS).alias("name"))
+    return _with_apps(merged, bounded_distinct(names, ELEMENT_KEYS, "name", MAX_APPS, APPS))
+
+
+def _with_apps(counted: DataFrame, lists: DataFrame) -> DataFrame:
+    none = F.array().cast("array<string>")
+    return counted.join(lists, list(ELEMENT_KEYS), "left").withColumn(
+        APPS, F.coalesce(APPS, none)
     )

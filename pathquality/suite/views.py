@@ -96,6 +96,8 @@ def delivered(spark: SparkSession, folder: str) -> DataFrame:
     base = F.unix_micros("day") + (user % 50) * 100_000
     out_way, back_way = F.col("side") == "c2s", F.col("side") == "s2c"
 
+    position = F.row_number().over(half.orderBy("ts", "event_id"))
+
     def seen(way: Column, us: Column) -> Column:
         return F.timestamp_micros(F.when(way, us))
 
@@ -104,8 +106,8 @@ def delivered(spark: SparkSession, folder: str) -> DataFrame:
         text("u", user).alias("community_id"),
         F.min("ts").over(half).alias("first_seen"),
         F.when(F.col("event_type") == "error", "error").otherwise(F.col("side")).alias("direction"),
-        (F.row_number().over(half.orderBy("ts", "event_id")) - 1).alias("record_seq"),
-        (F.row_number().over(half.orderBy(F.desc("ts"), F.desc("event_id"))) == 1).alias("is_final"),
+        (position - 1).alias("record_seq"),
+        (position == F.count(F.lit(1)).over(half)).alias("is_final"),
         text("GW-", event % 3).alias("probe_id"),
         F.col("ts").alias("exported_at"),
         F.min("ts").over(half).alias("flow_start"),
@@ -131,10 +133,11 @@ def delivered(spark: SparkSession, folder: str) -> DataFrame:
         "event_type",
         "event_id",
     )
-    again = exported.filter(F.col("event_type") == "view").withColumn(
-        "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 30 SECONDS")
-    )
-    return exported.unionByName(again)
+    copies = F.when(F.col("event_type") == "view", F.array(F.lit(0), F.lit(30)))
+    delay = F.explode(copies.otherwise(F.array(F.lit(0)))).alias("delay_s")
+    return exported.select("*", delay).withColumn(
+        "ingested_at", F.timestamp_micros(F.unix_micros("ingested_at") + F.col("delay_s") * 1_000_000)
+    ).drop("delay_s")
 
 
 def halfflows(spark: SparkSession, folder: str) -> DataFrame:
