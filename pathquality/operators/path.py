@@ -26,12 +26,18 @@ def explode_path(
     keep: Sequence[str],
     path: Sequence[tuple[str, str]] = PATH_COLUMNS,
 ) -> DataFrame:
-    """One row per session and distinct non-empty element, with the `keep` columns."""
-    steps = F.array(
-        *[
-            F.struct(F.lit(kind).alias("element_type"), F.col(column).alias("element_id"))
-            for kind, column in path
-        ]
-    )
-    present = F.filter(F.array_distinct(steps), lambda e: e["element_id"] != "")
-    return sessions.select(*keep, F.inline(present))
+    """One row per session and distinct non-empty element, with the `keep` columns.
+
+    Only two columns of the same type can name the same element, so repeats are blanked by
+    comparing those; what is blank is dropped after the explode. Plain comparisons stay in
+    generated code, which the array functions would leave.
+    """
+    steps = []
+    for i, (kind, column) in enumerate(path):
+        earlier = [c for k, c in path[:i] if k == kind]
+        name = F.col(column)
+        for other in earlier:
+            name = F.when(F.col(column) == F.col(other), "").otherwise(name)
+        steps.append(F.struct(F.lit(kind).alias("element_type"), name.alias("element_id")))
+    crossed = sessions.select(*keep, F.inline(F.array(*steps)))
+    return crossed.filter(F.col("element_id") != "")

@@ -77,13 +77,15 @@ class Store:
             F.lit(batch_id).alias("batch_id"),
         )
         writer = (
-            placed.sortWithinPartitions("day", *SORT[table])
+            # the directory columns lead, or the writer would sort again and lose the rest
+            placed.sortWithinPartitions("day", "batch_id", *SORT[table])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
         )
         for column in BLOOM.get(table, ()):
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.partitionBy("day", "batch_id").parquet(join(self.root, table))
 
     def discard(self, table: str, batch_id: str) -> None:

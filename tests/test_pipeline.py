@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathquality.plans.rollup import merge_element, merge_quality
+from pathquality.settings import StitchSettings
 from pathquality.sources import inventory as inv
 from pathquality.sources.store import Planned, Store, batch_name, retained
 from pathquality.sources.wire import queue_rows
@@ -96,7 +97,7 @@ def test_fault_batches(spark, store):
 def test_ticks_emit_every_session_once(store, lookups):
     rows = both("a", 0) + both("b", 30) + [record("c", "c2s", 40, final=False)]
     fill(store, rows)
-    worker = Stitcher(store, lambda: lookups)
+    worker = Stitcher(store, lambda: lookups, StitchSettings(max_window_s=500))
     assert worker.catch_up(at(100)) == 2
     assert worker.catch_up(at(200)) == 0
     assert worker.catch_up(at(2000)) == 1  # c went idle
@@ -142,7 +143,7 @@ def test_crash_between_tables_is_repaired(store, lookups, monkeypatch, broken):
 
 def test_restitch_fills_gaps_only(store, lookups):
     fill(store, both("a", 0) + both("b", 30) + both("busy", 40))
-    worker = Stitcher(store, lambda: lookups)
+    worker = Stitcher(store, lambda: lookups, StitchSettings(max_window_s=1000))
     worker.catch_up(at(3000))
     mark = store.watermark(JOB)
     for batch in {r["batch_id"] for r in store.read("sessions").select("batch_id").collect()}:
