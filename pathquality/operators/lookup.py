@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.network import ipv4_number, network_of, prefix_length
-from .sizing import fits_broadcast
+from .sizing import MAX_BYTES, MAX_ROWS, row_width
 
 
 def lookup(
@@ -65,7 +65,7 @@ def longest_prefix_match(
     address: Column,
     prefixes: DataFrame,
     take: Mapping[str, tuple[str, object]],
-    max_broadcast_rows: int | None = None,
+    max_broadcast_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Add the `take` columns of the longest prefix covering `address` (a number).
 
@@ -73,10 +73,15 @@ def longest_prefix_match(
     probed once per prefix length in use (33 at most). A larger one is matched against the
     distinct addresses only, which are then joined back.
     """
-    limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    lengths = sorted((r["len"] for r in prefixes.select("len").distinct().collect()), reverse=True)
+    measured = (
+        prefixes.groupBy("len")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(row_width(prefixes)).alias("b"))
+        .collect()  # one row per prefix length
+    )
+    lengths = sorted((r["len"] for r in measured), reverse=True)
+    rows, size = (sum(r[c] for r in measured) for c in ("n", "b"))
     base = df.withColumn("_ip", address)
-    if fits_broadcast(prefixes, **limit):
+    if rows <= max_broadcast_rows and size <= MAX_BYTES:
         hits = []
         for n in lengths:
             side = prefixes.filter(F.col("len") == n).select(

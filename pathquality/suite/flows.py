@@ -14,6 +14,7 @@ from ..operators.asof import asof_join, asof_join_within, range_join_nearest
 from ..operators.keyed import latest_per_key
 from ..operators.lookup import longest_prefix_match, lookup, prefix_table
 from ..operators.quantile import exact_quantile
+from ..operators.sizing import MAX_ROWS
 from ..operators.slices import in_slices, oldest_needed
 from ..plans import alerts, audits, panels
 from ..plans.incidents import annotations, incidents, recent
@@ -623,7 +624,7 @@ LPM_SQL = f"""WITH {v.INVENTORY_SQL}
     GROUP BY event_id"""
 
 
-def _lpm(spark, folder: str, limit: int | None) -> DataFrame:
+def _lpm(spark, folder: str, limit: int) -> DataFrame:
     ev = v.table(spark, folder, "events")
     user = F.col("user_id")
     ip = v.text("10.", F.floor(user / 65536), ".", F.floor(user / 256) % 256, ".", user % 256)
@@ -637,7 +638,7 @@ def _lpm(spark, folder: str, limit: int | None) -> DataFrame:
 
 @query("lpm_join", LPM_SQL)
 def lpm_join(spark, folder):
-    return _lpm(spark, folder, None)
+    return _lpm(spark, folder, MAX_ROWS)
 
 
 @query("lpm_join_large_table", LPM_SQL)
