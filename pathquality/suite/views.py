@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..settings import StitchSettings
 from ..session import configure
@@ -18,11 +19,18 @@ from ..sources.inventory import Lookups
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table; times as UTC timestamps."""
-    df = configure(spark).read.parquet(f"{folder}/{name}.parquet")
-    times = {f.name: F.col(f.name).cast("timestamp") for f in df.schema.fields
-             if f.dataType.typeName().startswith("timestamp")}
-    return df.withColumns(times) if times else df
+    """A given table; times are declared UTC timestamps when read, so that a filter on them
+    still reaches the file (a cast would stop it)."""
+    path = f"{folder}/{name}.parquet"
+    found = configure(spark).read.parquet(path).schema
+    declared = T.StructType(
+        [T.StructField(f.name, T.TimestampType() if _is_time(f) else f.dataType) for f in found]
+    )
+    return spark.read.schema(declared).parquet(path)
+
+
+def _is_time(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType))
 
 
 def text(*parts: str | Column) -> Column:

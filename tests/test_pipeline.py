@@ -217,3 +217,22 @@ def test_journal_returns_the_planned_window(store):
     assert store.unfinished(JOB) == plan and store.unfinished(REPAIR) is None
     store.note(JOB, 0, plan, "done", at(2))
     assert store.unfinished(JOB) is None and store.watermark(JOB) == at(120)
+
+
+def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
+    from pathquality import __main__ as jobs
+
+    folder, root = tmp_path / "csv", str(tmp_path / "root")
+    for name, df in inventory_tables(spark).items():
+        df.coalesce(1).write.csv(str(folder / f"{name}.csv"), header=True)
+    counts = jobs.main(["--root", root, "load-inventory", "--folder", str(folder)], spark)
+    assert counts["branches"] == 1
+    store = Store(spark, root)
+    fill(store, both("a", 0) + both("b", 30))
+    monkeypatch.setattr(jobs, "utc_now", lambda: at(4000))
+    store.note(JOB, 0, Planned("x", at(0), at(3000), at(9999)), "done", at(3000))
+    span = ["--since", at(-10).isoformat(), "--until", at(110).isoformat()]
+    assert jobs.main(["--root", root, "restitch", *span], spark) == 2
+    monkeypatch.setattr(jobs, "utc_now", lambda: at(86_400))
+    assert jobs.main(["--root", root, "maintain"], spark) == []
+    assert store.read("quality_1m").agg(F.sum("sessions")).first()[0] == 2
