@@ -80,10 +80,12 @@ def test_one_reply_may_serve_several_requests(spark):
     assert all(x["r_matched"] for x in got.collect())
 
 
-@pytest.mark.parametrize("small", [5, 4000])
+@pytest.mark.parametrize(("small", "ordered"), [(5, 10**9), (5, 0), (4000, 10**9)])
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
-def test_exact_quantile(spark, monkeypatch, small, q):
+def test_exact_quantile(spark, monkeypatch, small, ordered, q):
+    """Ranked whole, bracketed, and bracketed in bins."""
     monkeypatch.setattr(quantile_module, "SMALL", small)
+    monkeypatch.setattr(quantile_module, "ORDERED", ordered)
     monkeypatch.setattr(quantile_module, "ACCURACY", 100 if small == 5 else 5000)
     rng = np.random.default_rng(3)
     groups = {
