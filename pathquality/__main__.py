@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         now = utc_now()
         yesterday = now.date() - timedelta(days=1)
         for table, merge in (("quality_1m", merge_quality), ("element_1m", merge_element)):
-            store.compact(table, yesterday, merge, now)
+            store.compact(table, yesterday, merge)
             store.vacuum(table)
         return store.expire(now.date())
     stopped: list[int] = []

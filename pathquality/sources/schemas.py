@@ -73,10 +73,12 @@ ELEMENT_1M = """
 """
 
 JOURNAL = """
-    job string, shard int, batch_id string, lo timestamp, hi timestamp,
+    seq bigint, job string, shard int, batch_id string, lo timestamp, hi timestamp,
     live_from timestamp, state string, updated_at timestamp
 """
 
+COMPACTIONS = "table_name string, day date, from_batch string"
+
 INVENTORY = {
     "providers": "code string, name string, latency_factor decimal(4,2)",
     "pops": "pop_id string, provider string, region string, backbone_ms decimal(6,2)",

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import instant, micros_of
+from ..operators.keyed import latest_per_key
 from ..settings import RETENTION_DAYS
 from . import schemas
 from .files import delete, exists, join, matching
@@ -114,14 +115,20 @@ class Store:
 
     # --- journal and watermark --------------------------------------------------
 
-    def _journal(self) -> DataFrame:
-        path = join(self.root, "journal")
-        if not exists(self.spark, path):
+    def _journal(self, job: str = "*", shard: int | str = "*") -> DataFrame:
+        """The newest entry per job and shard. Two slots are written in turn, so a crash
+        while writing one leaves the other, and the journal never grows."""
+        slots = matching(self.spark, join(self.root, "journal", job, str(shard), "slot-*"))
+        if not slots:
             return self.spark.createDataFrame([], schemas.JOURNAL)
-        return self.spark.read.schema(schemas.JOURNAL).parquet(path)
+        rows = self.spark.read.schema(schemas.JOURNAL).parquet(*slots)
+        return latest_per_key(rows, ["job", "shard"], ["seq"])
 
     def note(self, job: str, shard: int, plan: Planned, state: str, at: datetime) -> None:
+        last = self._journal(job, shard).first()
+        seq = last["seq"] + 1 if last else 0
         row = self.spark.range(1).select(
+            F.lit(seq).cast("bigint").alias("seq"),
             F.lit(job).alias("job"),
             F.lit(shard).cast("int").alias("shard"),
             F.lit(plan.batch_id).alias("batch_id"),
@@ -131,66 +138,72 @@ class Store:
             F.lit(state).alias("state"),
             instant(at).alias("updated_at"),
         )
-        row.coalesce(1).write.mode("append").parquet(join(self.root, "journal"))
+        slot = join(self.root, "journal", job, str(shard), f"slot-{seq % 2}")
+        row.coalesce(1).write.mode("overwrite").parquet(slot)
 
     def watermarks(self) -> DataFrame:
-        """Finished windows as (job, shard, watermark, updated_at)."""
-        return self._journal().filter("state = 'done'").select(
-            "job", "shard", F.col("hi").alias("watermark"), "updated_at"
-        )
+        """How far every job has got: (job, shard, watermark, updated_at). A window that is
+        planned but not done has got as far as its start."""
+        reached = F.when(F.col("state") == "done", F.col("hi")).otherwise(F.col("lo"))
+        return self._journal().select("job", "shard", reached.alias("watermark"), "updated_at")
 
     def watermark(self, job: str, shard: int = 0) -> datetime | None:
-        mine = self.watermarks().filter((F.col("job") == job) & (F.col("shard") == shard))
-        return mine.agg(F.max("watermark")).first()[0]
+        row = self._journal(job, shard).first()
+        return None if row is None else row["hi"] if row["state"] == "done" else row["lo"]
 
     def unfinished(self, job: str, shard: int = 0) -> Planned | None:
         """The planned window whose batch never finished, if any."""
-        rows = self._journal().filter((F.col("job") == job) & (F.col("shard") == shard))
-        state = rows.groupBy("batch_id").agg(
-            F.bool_or(F.col("state") == "done").alias("done"),
-            *[F.min(c).alias(c) for c in ("lo", "hi", "live_from")],
-        )
-        row = state.filter("not done").orderBy("batch_id").first()
-        return Planned(row["batch_id"], row["lo"], row["hi"], row["live_from"]) if row else None
+        row = self._journal(job, shard).first()
+        if row is None or row["state"] == "done":
+            return None
+        return Planned(row["batch_id"], row["lo"], row["hi"], row["live_from"])
 
     # --- compaction and retention -----------------------------------------------
 
+    def _compactions(self, table: str) -> list:
+        """Where each compacted day's valid batches begin; one row per retained day."""
+        path = join(self.root, "compactions")
+        if not exists(self.spark, path):
+            return []
+        rows = self.spark.read.schema(schemas.COMPACTIONS).parquet(path)
+        newest = rows.filter(F.col("table_name") == table).groupBy("day")
+        return newest.agg(F.max("from_batch").alias("from_batch")).collect()
+
     def _without_superseded(self, table: str, rows: DataFrame) -> DataFrame:
-        merged = (
-            self._journal()
-            .filter((F.col("job") == f"compact:{table}") & (F.col("state") == "done"))
-            .groupBy(F.to_date("lo").alias("day"))
-            .agg(F.max("batch_id").alias("from_batch"))
-            .collect()  # at most one row per retained day
-        )
+        merged = self._compactions(table)
         if not merged:
             return rows
         pairs = [x for r in merged for x in (F.lit(r["day"]), F.lit(r["from_batch"]))]
         first = F.coalesce(F.create_map(*pairs)[F.col("day")], F.lit(""))
         return rows.filter(F.col("batch_id") >= first)
 
-    def compact(self, table: str, day: date, merge, now: datetime) -> None:
+    def compact(self, table: str, day: date, merge) -> None:
         """Merge a closed day's batches into one. `merge` turns partial rows into final
-        ones. Run it between ticks; later batches for the day simply add to it."""
-        start = datetime(day.year, day.month, day.day)
+        ones. Run it between ticks; later batches for the day simply add to it.
+
+        The merged batch sorts right after the newest one it replaces, so it can hide
+        neither a later batch nor, as none may be unfinished, one still to be redone.
+        """
+        if not self._journal().filter("state <> 'done'").isEmpty():
+            raise RuntimeError("a planned window is not finished; let its job repair it first")
         partial = self.read(table).filter(F.col("day") == F.lit(day))
-        plan = Planned(batch_name(now, "compact"), start, start + timedelta(days=1), now)
-        self.write(table, merge(partial), plan.batch_id)
-        self.note(f"compact:{table}", 0, plan, "done", now)
+        newest = partial.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            return
+        batch_id = f"{newest}~compact"
+        self.write(table, merge(partial), batch_id)
+        done = self.spark.range(1).select(
+            F.lit(table).alias("table_name"), F.lit(day).alias("day"),
+            F.lit(batch_id).alias("from_batch"),
+        )
+        done.coalesce(1).write.mode("append").parquet(join(self.root, "compactions"))
 
     def vacuum(self, table: str) -> int:
         """Delete batches a compaction has replaced."""
         gone = 0
-        for row in (
-            self._journal()
-            .filter((F.col("job") == f"compact:{table}") & (F.col("state") == "done"))
-            .groupBy(F.to_date("lo").alias("day"))
-            .agg(F.max("batch_id").alias("from_batch"))
-            .collect()
-        ):
-            for path in matching(
-                self.spark, join(self.root, table, f"day={row['day']}", "batch_id=*")
-            ):
+        for row in self._compactions(table):
+            day = join(self.root, table, f"day={row['day']}", "batch_id=*")
+            for path in matching(self.spark, day):
                 if path.rsplit("batch_id=", 1)[1] < row["from_batch"]:
                     gone += delete(self.spark, path)
         return gone

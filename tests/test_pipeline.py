@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pathquality.plans.rollup import merge_element, merge_quality
 from pathquality.settings import StitchSettings
 from pathquality.sources import inventory as inv
-from pathquality.sources.store import Planned, Store, batch_name, retained
+from pathquality.sources.files import delete
+from pathquality.sources.store import Planned, Store, retained
 from pathquality.sources.wire import queue_rows
 from pathquality.streaming import stitcher as stitcher_module
 from pathquality.streaming.ingest import (
@@ -130,7 +131,8 @@ def test_crash_between_tables_is_repaired(store, lookups, monkeypatch, broken):
         m.setattr(stitcher_module, broken, fail)
         with pytest.raises(RuntimeError):
             worker.tick(at(60))
-    assert store.unfinished(JOB) is not None and store.watermark(JOB) is None
+    planned = store.unfinished(JOB)
+    assert planned is not None and store.watermark(JOB) == planned.lo
     fill(store, both("late", 2), "000000000000002-flows")
     worker.catch_up(at(300))
     assert store.unfinished(JOB) is None
@@ -180,11 +182,14 @@ def test_compaction_keeps_totals_and_accepts_later_batches(store, lookups):
     worker.catch_up(at(200))
     assert totals() == (3, 3, 2)
     for table, merge in (("quality_1m", merge_quality), ("element_1m", merge_element)):
-        store.compact(table, day, merge, at(300))
+        store.compact(table, day, merge)
     assert totals()[:2] == (3, 3)
-    assert {r["batch_id"] for r in store.read("quality_1m").select("batch_id").collect()} == {
-        batch_name(at(300), "compact")}
+    left = {r["batch_id"] for r in store.read("quality_1m").select("batch_id").collect()}
+    assert len(left) == 1 and left.pop().endswith("~compact")
     assert store.vacuum("quality_1m") > 0 and totals()[:2] == (3, 3)
+    store.note(REPAIR, 0, Planned("x", at(0), at(1), at(2)), "planned", at(250))
+    with pytest.raises(RuntimeError, match="not finished"):
+        store.compact("quality_1m", day, merge_quality)
     fill(store, both("d", 400), "000000000000003-flows")
     worker.catch_up(at(600))
     assert totals()[:2] == (4, 4)
@@ -219,6 +224,18 @@ def test_journal_returns_the_planned_window(store):
     assert store.unfinished(JOB) is None and store.watermark(JOB) == at(120)
 
 
+def test_losing_a_journal_slot_loses_no_ground(store):
+    first, second = Planned("b1", at(0), at(120), at(9999)), Planned("b2", at(120), at(240), at(9999))
+    for plan, state in ((first, "planned"), (first, "done"), (second, "planned"), (second, "done")):
+        store.note(JOB, 0, plan, state, at(1))
+    store.note("other", 3, first, "done", at(1))
+    delete(store.spark, f"{store.root}/journal/{JOB}/0/slot-1")  # crashed while noting "done"
+    assert store.unfinished(JOB) == second and store.watermark(JOB) == at(120)
+    store.note(JOB, 0, second, "done", at(2))
+    assert store.watermark(JOB) == at(240)
+    assert {(r["job"], r["shard"]) for r in store.watermarks().collect()} == {(JOB, 0), ("other", 3)}
+
+
 def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
     from pathquality import __main__ as jobs
 
