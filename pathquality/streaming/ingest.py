@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..sources import wire
 from ..sources.store import Store
 
+# Fixed value: the topic probes publish to.
 FLOW_TOPIC = "netflow.halfflows.v1"
 Clock = Callable[[], datetime]
 
