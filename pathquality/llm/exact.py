@@ -123,7 +123,7 @@ def _differing(docs: DataFrame, rows: DataFrame, chunk: int) -> DataFrame:
     is_rep = (F.col("doc_id").eqNullSafe(F.col("rep.doc_id"))
               & F.col("row_key").eqNullSafe(F.col("rep.row_key")))
     held = held.dropDuplicates(["doc_id", "row_key"]).withColumn("is_rep", is_rep).drop("rep", "n")
-    texts = _texts(docs).dropDuplicates(["doc_id", "row_key"]).select(
+    texts = _texts(docs).select(
         F.col("doc_id").alias("d"), F.col("row_key").alias("k"),
         F.encode(F.translate("text", _UPPER, _UPPER.lower()), "UTF-8").alias("body"))
     chunks = _chunks(held.join(
@@ -133,7 +133,8 @@ def _differing(docs: DataFrame, rows: DataFrame, chunk: int) -> DataFrame:
         "doc_id", "row_key", *group, "at", "chunk", spread.alias("salt"))
     reps = chunks.filter("is_rep").select(
         *group, "at", F.col("chunk").alias("same"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    ).dropDuplicates([*group, "at", "salt"])  # the representative's row may repeat
     return members.join(reps, [*group, "at", "salt"], "left").filter(
         F.coalesce(F.col("chunk") != F.col("same"), F.lit(True))
     ).select("doc_id", "row_key").distinct()
