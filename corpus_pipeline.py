@@ -1,23 +1,77 @@
-"""A corpus made ready for training, stage by stage."""
+"""A corpus made ready for training, stage by stage.
+
+toxicity           documents that the classifier rejects go
+line dedup         blocks of lines that an earlier document has are cut from the later one
+simhash dedup      one document of each group of near duplicates stays, the smallest doc_id
+mixing             sources are brought to their target weights, documents repeated or left out
+sentencepiece      texts become token ids
+
+Every stage works on all rows the one before kept, and all but the last return the columns of
+`documents`. Each result is written below the shared folder and read again.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pathquality.llm.common import ready, stored
+from pathquality.llm import fst, lines, mixing, simhash, toxicity
+from pathquality.llm.common import ready, stored, table, text_key
+from pathquality.llm.queries import PIECES
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-# Hash-random cuts, learned scores and subword paths are beyond SQL.
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
+    columns = docs.columns
+    out = lines.line_dedup(docs)
+    if "n_chars" in columns:
+        left = F.coalesce(F.length("text").cast("long"), F.lit(0))
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, left).otherwise(F.col("n_chars")))
+    return out.select(*columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document whose id is its component's stays; of rows that repeat it, one."""
+    ready(spark)
+    keep = simhash.near_duplicates(docs).filter("doc_id <=> component_id").select(
+        F.col("doc_id").alias("__keep")).distinct()
+    kept = docs.withColumn("__row_key", text_key()).join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")))
+    return kept.dropDuplicates(["doc_id", "__row_key"]).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return mixing.repeated(mixing.mix(docs), docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return fst.encode(docs, fst.load(PIECES))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("simhash dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode),
+]
+
+# Learned scores, alignments and subword paths are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
