@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, exact, fst, licenses, lines, mixing, simhash, substrings, toxicity
+from . import covertree, exact, fst, html, licenses, lines, mixing, simhash, substrings, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst.encode(table(spark, sf_dir, "documents"), fst.load(PIECES))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_html_text": op2_html_text,
     "op3_toxicity": op3_toxicity,
     "op4_license_scan": op4_license_scan,
     "op5_exact_dedup": op5_exact_dedup,
