@@ -33,6 +33,10 @@ HIDDEN = frozenset("""
 script style noscript template svg math iframe object canvas audio video head title textarea select
 datalist button
 """.split())
+PHRASING = INLINE | frozenset("""
+script style noscript template svg math iframe object canvas audio video select datalist button
+textarea input embed area source track
+""".split())  # what stands within a line of text and does not end it
 RAW = frozenset("script style noscript template iframe textarea title svg math".split())
 CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -134,22 +138,22 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if slash:
-            if tag not in INLINE:
+            if tag not in PHRASING:
                 flush()
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None and not (tag in INLINE and any(s[0] not in INLINE for s in stack[depth:])):
+            if depth is not None and not (tag in PHRASING and any(s[0] not in PHRASING for s in stack[depth:])):
                 while len(stack) > depth:
                     pop()
             continue
         if tag == "br":
             pieces.append(" ")
             continue
-        if tag not in INLINE:
+        if tag not in PHRASING:
             flush()
             while stack and stack[-1][0] == "p":
                 pop()
             if stack and any(s[0] == "p" for s in stack):  # a block ends an open paragraph
-                while stack[-1][0] in INLINE or stack[-1][0] == "p":
+                while stack[-1][0] in PHRASING or stack[-1][0] == "p":
                     was = stack[-1][0]
                     pop()
                     if was == "p":
@@ -294,6 +298,8 @@ SHELLS = (
 )
 AROUND = (
     "<nav><ul>{links}</ul></nav>", '<ul class="menu">{links}</ul>', '<div class="breadcrumbs">{inline}</div>',
+    "<nav>{p}</nav>", "<nav><p>{s}</p></nav>", "<header><h1>{s}</h1><nav>{inline}</nav></header>",
+    '<div class="masthead"><h1>{s}</h1></div>', "<header><h1>{s}</h1><p>{p}</p></header>",
     "<header><p>{s}</p></header>", '<div id="header">{s}</div>', '<header><a href="/">{s}</a><p>{p}</p></header>',
     "<footer><p>{p}</p></footer>", "<footer>&copy; {s}. {p}</footer>", '<div class="footer">{p}</div>',
     "<aside><h3>{s}</h3><p>{p}</p></aside>", '<div class="sidebar"><p>{p}</p><ul>{links}</ul></div>',
@@ -305,6 +311,7 @@ AROUND = (
     '<div class="related"><h4>{s}</h4><ul>{links}</ul></div>', '<div class="pagination">{inline}</div>',
     '<div style="display:none">{p}</div>', '<p class="copyright">© {s}</p>', "<ul>{links}</ul>",
 )
+WITHIN = tuple(a for a in AROUND[:-1] if "<h1>" not in a)  # what may interrupt an article
 CONTENT = ("<p>{p}</p>", "<p>{p}", "<p>{p}</p><p>{s}</p>", "<h2>{s}</h2><p>{p}</p>",
            "<ul><li>{s}</li><li>{p}</li></ul>", "<blockquote>{p}</blockquote>", "<p>{s}.</p>",
            "<pre>{p}</pre>", "<figure><figcaption>{s}</figcaption></figure><p>{p}</p>", "<p><b>{p}<br>",
@@ -337,7 +344,7 @@ def labelled_page(rng: random.Random) -> tuple[list[Block], list[bool]]:
     if rng.random() < 0.7:
         pieces.insert(0, _fill("<h1>{s}</h1>", _YES, rng))
     for _ in range(rng.choice([0, 0, 1, 2])):
-        pieces.insert(rng.randrange(1, len(pieces) + 1), _fill(rng.choice(AROUND[:-1]), _NO, rng))
+        pieces.insert(rng.randrange(1, len(pieces) + 1), _fill(rng.choice(WITHIN), _NO, rng))
     page = [_fill(rng.choice(AROUND), _NO, rng) for _ in range(rng.randrange(4))]
     page.append(rng.choice(SHELLS).replace("{c}", "".join(pieces)))
     page += [_fill(rng.choice(AROUND), _NO, rng) for _ in range(rng.randrange(4))]
