@@ -8,8 +8,8 @@
    a tree of voters in which each depends on one other (Chow-Liu, by conditional mutual
    information), so that voters that copy each other do not count twice. The labels of the
    training rows are one more voter whose accuracy is estimated.
-3. A linear classifier is trained on the model's posterior labels of the sampled rows and
-   scores whole texts.
+3. A linear classifier of lexicon entries and votes is trained on the model's posterior labels
+   of the sampled rows, and of rows without labels that some voter speaks for.
 """
 
 from __future__ import annotations
@@ -47,7 +47,8 @@ PATTERNS = (
     re.compile(r"\b(?:shut up|go away|hate you|hate them|kill yourself|drop dead|get lost)\b"),
     re.compile(r"[!?]{3,}"),
 )
-VOTERS = LEXICONS + 1 + len(PATTERNS)  # 2^14 vote patterns at most
+FIXED = 1 + len(PATTERNS)
+VOTERS = LEXICONS + FIXED  # 2^14 vote patterns at most
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -271,6 +272,13 @@ def fit_label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, to
 # Classifier -------------------------------------------------------------------------------
 
 
+def with_votes(entries: list[list[int]], votes: list[int], n: int) -> list[list[int]]:
+    """The classifier's inputs: entries of the lexicon, of size n, and after them the votes of
+    the fixed voters. (Those of mined lexicons always agree with the rows they come from.)"""
+    return [e + [n + j for j in range(FIXED) if v >> (LEXICONS + j) & 1]
+            for e, v in zip(entries, votes, strict=True)]
+
+
 @dataclass
 class Classifier:
     lexicon: Lexicon
@@ -278,7 +286,8 @@ class Classifier:
     bias: float
     label_model: LabelModel | None = None
 
-    def score(self, entries: list[list[int]]) -> np.ndarray:
+    def score(self, entries: list[list[int]], votes: list[int]) -> np.ndarray:
+        entries = with_votes(entries, votes, len(self.lexicon.names))
         n = np.array([len(e) for e in entries], dtype=np.int64)
         flat = np.array([i for e in entries for i in e], dtype=np.int64)
         row = np.repeat(np.arange(len(entries)), n)
@@ -286,8 +295,8 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
-def _fit_linear(entries: list[list[int]], target: np.ndarray, n: int, rounds: int = 300,
-                penalty: float = 0.1) -> tuple[np.ndarray, float]:
+def _fit_linear(entries: list[list[int]], target: np.ndarray, n: int,
+                rounds: int = 300, penalty: float = 0.1) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels, by Adam over all rows at once."""
     row = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
     col = np.array([i for e in entries for i in e], dtype=np.int64)
@@ -326,7 +335,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Cla
     share = count.get(1, 0) / max(1, sum(count.values()))
     if not both:
         bias = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        return Classifier(lexicon, np.zeros(0), bias), signals
+        return Classifier(lexicon, np.zeros(FIXED), bias), signals
     patterns = signals.groupBy("votes").count().collect()  # 2^VOTERS rows at most
     rows = signals.join(chosen, "doc_id").select("votes", "toxic", "entries").collect()
     votes = np.array([r["votes"] for r in patterns] + [r["votes"] for r in rows])
@@ -339,14 +348,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Cla
         weight[(folded[:, 0] == v) & (folded[:, 1] == -1)] -= weight[mine]
     model = fit_label_model(folded[:, 0], folded[:, 1], np.maximum(weight, 0), share)
     target = model.posterior(votes[len(patterns):], label[len(patterns):])
-    w, b = _fit_linear([r["entries"] for r in rows], target, len(lexicon.names))
+    inputs = with_votes([r["entries"] for r in rows], [r["votes"] for r in rows], len(lexicon.names))
+    w, b = _fit_linear(inputs, target, len(lexicon.names) + FIXED)
     return Classifier(lexicon, w, b, model), signals
 
 
 def _scores(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(batch.column("entries").to_pylist())
+            score = model.score(batch.column("entries").to_pylist(), batch.column("votes").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
     return run
@@ -369,8 +379,9 @@ def _clean(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = model.lexicon.reader()
         for batch in batches:
-            entries = [read(t or "")[0] for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(model.score(entries) < THRESHOLD))
+            found = [read(t or "") for t in batch.column("text").to_pylist()]
+            score = model.score([e for e, _ in found], [v for _, v in found])
+            yield batch.filter(pa.array(score < THRESHOLD))
     return run
 
 

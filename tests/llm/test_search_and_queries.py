@@ -92,15 +92,16 @@ def test_pipeline_stages(spark, small, tmp_path):
     base = spark.read.parquet(f"{small}/documents.parquet")
     extra = spark.createDataFrame(
         [(None, None, None, None, None), (10**6, "", "en", "src0", 0), (10**6, "", "en", "src0", 0),
-         (10**6 + 1, "you idiot moron scum", "en", "src1", 20)], base.schema)
+         *((10**6 + 3 * i, "you idiot moron scum", "en", "src1", 20) for i in range(1, 9))], base.schema)
     docs, seen = base.unionByName(extra), []
+    assert docs.filter("text = 'you idiot moron scum'").count() == 8
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, docs, small).write.parquet(f"{tmp_path}/{i}")
         docs = spark.read.parquet(f"{tmp_path}/{i}")
         seen.append(docs)
     assert all(d.columns == base.columns for d in seen[:-1])
     kept, cut, single, mixed, coded = seen
-    assert kept.filter("doc_id = 1000001").count() == 0
+    assert kept.filter("text = 'you idiot moron scum'").count() == 0
     assert kept.count() == cut.count() >= single.count()
     assert single.select("doc_id").distinct().count() == single.count()
     assert mixed.count() == coded.count()
