@@ -1,8 +1,9 @@
-"""Jobs for spark-submit: load-inventory, ingest, stitch, restitch, maintain."""
+"""Jobs for spark-submit: load-inventory, ingest, ingest-faults, stitch, restitch, maintain."""
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import signal
 from datetime import datetime, timedelta
 
@@ -14,7 +15,16 @@ from .session import configure, shared_folder
 from .sources import inventory
 from .sources.files import join
 from .sources.store import Store, batch_name
-from .streaming.ingest import FLOW_TOPIC, file_messages, start_ingest, topic_messages, utc_now
+from .streaming.ingest import (
+    FAULT_TOPIC,
+    FLOW_TOPIC,
+    file_messages,
+    ingest_batch,
+    ingest_fault_batch,
+    start_ingest,
+    topic_messages,
+    utc_now,
+)
 from .streaming.stitcher import Stitcher
 
 
@@ -25,11 +35,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load = sub.add_parser("load-inventory", help="publish a new inventory version from CSV")
     load.add_argument("--folder", required=True)
     load.add_argument("--seeds", help="folder of sla_targets.csv, if elsewhere")
-    ingest = sub.add_parser("ingest", help="messages to half-flows until stopped")
-    source = ingest.add_mutually_exclusive_group(required=True)
-    source.add_argument("--servers", help="Kafka bootstrap servers")
-    source.add_argument("--files", help="folder of text files, one message per line")
-    ingest.add_argument("--topic", default=FLOW_TOPIC)
+    for job, topic, text in (("ingest", FLOW_TOPIC, "messages to half-flows until stopped"),
+                             ("ingest-faults", FAULT_TOPIC, "messages to fault events until stopped")):
+        ingest = sub.add_parser(job, help=text)
+        source = ingest.add_mutually_exclusive_group(required=True)
+        source.add_argument("--servers", help="Kafka bootstrap servers")
+        source.add_argument("--files", help="folder of text files, one message per line")
+        ingest.add_argument("--topic", default=topic)
+        ingest.add_argument("--once", action="store_true", help="take what is there and stop")
     sub.add_parser("stitch", help="stitch new windows until stopped")
     again = sub.add_parser("restitch", help="fill missing sessions of a past range")
     again.add_argument("--since", type=datetime.fromisoformat, required=True)
@@ -38,6 +51,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _short(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> object:
     args = _arguments(argv)
     spark = configure(spark or SparkSession.builder.appName(f"pathquality {args.job}").getOrCreate())
@@ -50,13 +67,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
     if args.job == "load-inventory":
         tables = inventory.read_csv(spark, args.folder, args.seeds)
         return inventory.publish(spark, tables, versions, batch_name(utc_now(), "inventory"))
-    if args.job == "ingest":
-        messages = (
-            topic_messages(spark, args.servers, args.topic)
-            if args.servers
-            else file_messages(spark, args.files)
-        )
-        return start_ingest(store, messages, join(root, "checkpoints", "flows")).awaitTermination()
+    if args.job in ("ingest", "ingest-faults"):
+        if args.servers:
+            messages, source = topic_messages(spark, args.servers, args.topic), f"topic-{args.topic}"
+        else:
+            messages, source = file_messages(spark, args.files), f"files-{_short(args.files)}"
+        handle = ingest_batch if args.job == "ingest" else ingest_fault_batch
+        checkpoint = join(root, "checkpoints", args.job, source)
+        every = None if args.once else "8 seconds"
+        return start_ingest(store, messages, checkpoint, every, handle).awaitTermination()
     worker = Stitcher(store, lookups)
     if args.job == "restitch":
         return worker.restitch(naive_utc(args.since), naive_utc(args.until), utc_now())

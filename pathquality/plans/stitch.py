@@ -40,10 +40,14 @@ class Window:
 
 
 def next_window(
-    watermark: datetime, now: datetime, settings: StitchSettings = StitchSettings()
+    watermark: datetime, now: datetime, settings: StitchSettings = StitchSettings(),
+    arriving_since: datetime | None = None,
 ) -> Window | None:
-    """The window to stitch next, or None while there is nothing safe to read."""
+    """The window to stitch next, or None while there is nothing safe to read. It ends before
+    the arrival time of any batch that is still being written."""
     newest = now - timedelta(seconds=settings.safety_s)
+    if arriving_since is not None:
+        newest = min(newest, arriving_since - timedelta(microseconds=1))
     hi = min(newest, watermark + timedelta(seconds=settings.max_window_s))
     return Window(watermark, hi) if hi > watermark else None
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import instant, micros_of
@@ -54,6 +54,9 @@ SORT = {
 BLOOM = {"sessions": ("community_id",)}
 
 
+INGEST = "ingest-"  # what the names of ingest jobs in the journal begin with
+
+
 @dataclass(frozen=True)
 class Planned:
     """A window as written to the journal."""
@@ -145,7 +148,7 @@ class Store:
         """How far every job has got: (job, shard, watermark, updated_at). A window that is
         planned but not done has got as far as its start."""
         reached = F.when(F.col("state") == "done", F.col("hi")).otherwise(F.col("lo"))
-        return self._journal().select("job", "shard", reached.alias("watermark"), "updated_at")
+        return self._journal().filter(~F.col("job").startswith(INGEST)).select("job", "shard", reached.alias("watermark"), "updated_at")
 
     def watermark(self, job: str, shard: int = 0) -> datetime | None:
         row = self._journal(job, shard).first()
@@ -154,9 +157,17 @@ class Store:
     def unfinished(self, job: str, shard: int = 0) -> Planned | None:
         """The planned window whose batch never finished, if any."""
         row = self._journal(job, shard).first()
-        if row is None or row["state"] == "done":
-            return None
-        return Planned(row["batch_id"], row["lo"], row["hi"], row["live_from"])
+        return None if row is None or row["state"] == "done" else _planned(row)
+
+    def newest(self, job: str, shard: int = 0) -> Planned | None:
+        """The batch a job noted last, finished or not."""
+        row = self._journal(job, shard).first()
+        return None if row is None else _planned(row)
+
+    def arriving_since(self) -> datetime | None:
+        """The earliest arrival time of the ingest batches that are still being written."""
+        open_ = self._journal(f"{INGEST}*").filter("state <> 'done'")
+        return open_.agg(F.min("lo")).first()[0]
 
     # --- compaction and retention -----------------------------------------------
 
@@ -184,7 +195,8 @@ class Store:
         The merged batch sorts right after the newest one it replaces, so it can hide
         neither a later batch nor, as none may be unfinished, one still to be redone.
         """
-        if not self._journal().filter("state <> 'done'").isEmpty():
+        windows = self._journal().filter(~F.col("job").startswith(INGEST))
+        if not windows.filter("state <> 'done'").isEmpty():
             raise RuntimeError("a planned window is not finished; let its job repair it first")
         partial = self.read(table).filter(F.col("day") == F.lit(day))
         newest = partial.agg(F.max("batch_id")).first()[0]
@@ -222,6 +234,10 @@ class Store:
         return dropped
 
 
+def _planned(row: Row) -> Planned:
+    return Planned(row["batch_id"], row["lo"], row["hi"], row["live_from"])
+
+
 def _day(path: str) -> date:
     return date.fromisoformat(path.rsplit("day=", 1)[1].split("/")[0])
 

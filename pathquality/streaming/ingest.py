@@ -1,19 +1,30 @@
-"""Continuous ingest: a topic of messages becomes half-flows, queue rows and refusals."""
+"""Continuous ingest: a topic of messages becomes half-flows, queue rows and refusals.
+
+A batch is named after its stream, by the id its checkpoint holds, and its number, so a stream
+with a new checkpoint never replaces what an earlier one wrote. It is journalled with its
+arrival time before anything is written and again when all is written. A replayed batch keeps
+its first arrival time, and stitching never passes the arrival time of a batch that is still
+being written: however long that takes, its rows are visible when their window is read.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..sources import wire
-from ..sources.store import Store
+from ..settings import StitchSettings
+from ..sources.files import join
+from ..sources.store import INGEST, Planned, Store
 
-# Fixed value: the topic probes publish to.
+# The topics of flows and of fault events.
 FLOW_TOPIC = "netflow.halfflows.v1"
+FAULT_TOPIC = "netflow.faults.v1"
 Clock = Callable[[], datetime]
 
 
@@ -42,32 +53,68 @@ def file_messages(spark: SparkSession, folder: str, max_files: int = 1000) -> Da
     return lines.select("value", F.col("_metadata.file_name").alias("topic"))
 
 
-def ingest_batch(store: Store, messages: DataFrame, batch_id: int, now: datetime) -> None:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream a checkpoint belongs to; Spark writes it before the first batch."""
+    lines = spark.read.text(join(checkpoint, "metadata")).collect()
+    return json.loads("".join(r["value"] for r in lines))["id"]
+
+
+def _begin(store: Store, stream: str, name: str, clock: Clock) -> Planned:
+    """Journal a batch. A batch that began before keeps its arrival time; a new one is only
+    stamped by a journal entry that was written well before stitching could pass the stamp."""
+    job = f"{INGEST}{stream}"
+    known = store.newest(job)
+    if known is not None and known.batch_id == name:
+        return known
+    patience = timedelta(seconds=StitchSettings().safety_s / 2)
+    while True:
+        stamp = clock()
+        plan = Planned(name, stamp, stamp, stamp)
+        store.note(job, 0, plan, "planned", stamp)
+        if clock() - stamp <= patience:
+            return plan
+
+
+def _write(store: Store, stream: str, batch_id: int, clock: Clock, tables, fill) -> None:
+    name = f"{batch_id:015d}-{stream}"
+    plan = _begin(store, stream, name, clock)
+    for table in tables:
+        store.discard(table, name)
+    fill(name, plan.lo)
+    store.note(f"{INGEST}{stream}", 0, plan, "done", plan.lo)
+
+
+def ingest_batch(
+    store: Store, messages: DataFrame, batch_id: int, clock: Clock, stream: str = "flows"
+) -> None:
     """Write one batch. Repeating a batch replaces what the first try left."""
-    name = f"{batch_id:015d}-flows"
-    parsed = wire.parse_halfflows(messages, now).persist()
-    try:
-        for table in ("halfflows", "queue", "ingest_errors"):
-            store.discard(table, name)
-        good = wire.accepted_halfflows(parsed, now)
-        store.write("halfflows", good, name)
-        store.write("ingest_errors", wire.refused(parsed, wire.HALFFLOW_KEY_FIELDS, now), name)
-        # last: a queued id must find its records
-        store.write("queue", wire.queue_rows(good), name)
-    finally:
-        parsed.unpersist()
-
-
-def ingest_fault_batch(store: Store, messages: DataFrame, batch_id: int, now: datetime) -> None:
-    name = f"{batch_id:015d}-faults"
-    parsed = wire.parse_faults(messages).persist()
-    try:
-        for table in ("fault_events", "ingest_errors"):
-            store.discard(table, name)
-        store.write("fault_events", wire.accepted_faults(parsed), name)
-        store.write("ingest_errors", wire.refused(parsed, wire.FAULT_KEY_FIELDS, now), name)
-    finally:
-        parsed.unpersist()
+
+    def fill(name: str, now: datetime) -> None:
+        parsed = wire.parse_halfflows(messages, now).persist()
+        try:
+            good = wire.accepted_halfflows(parsed, now)
+            store.write("halfflows", good, name)
+            store.write("ingest_errors", wire.refused(parsed, wire.HALFFLOW_KEY_FIELDS, now), name)
+            # last: a queued id must find its records
+            store.write("queue", wire.queue_rows(good), name)
+        finally:
+            parsed.unpersist()
+
+    _write(store, stream, batch_id, clock, ("halfflows", "queue", "ingest_errors"), fill)
+
+
+def ingest_fault_batch(
+    store: Store, messages: DataFrame, batch_id: int, clock: Clock, stream: str = "faults"
+) -> None:
+    def fill(name: str, now: datetime) -> None:
+        parsed = wire.parse_faults(messages).persist()
+        try:
+            store.write("fault_events", wire.accepted_faults(parsed), name)
+            store.write("ingest_errors", wire.refused(parsed, wire.FAULT_KEY_FIELDS, now), name)
+        finally:
+            parsed.unpersist()
+
+    _write(store, stream, batch_id, clock, ("fault_events", "ingest_errors"), fill)
 
 
 def start_ingest(
@@ -79,9 +126,12 @@ def start_ingest(
     clock: Clock = utc_now,
 ) -> StreamingQuery:
     """`every=None` takes what is there and stops. The arrival time of a batch is read once
-    on the driver, so every row of it agrees."""
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda rows, batch_id: handle(store, rows, batch_id, clock())
-    )
+    on the driver, so every row of it agrees. Every source and topic needs a checkpoint of its
+    own."""
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        handle(store, rows, batch_id, clock, stream_id(store.spark, checkpoint))
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return writer.trigger(**trigger).start()

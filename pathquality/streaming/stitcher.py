@@ -82,7 +82,9 @@ class Stitcher:
         """Stitch the next window: (sessions written, whether more backlog is waiting)."""
         now = naive_utc(now)
         redone = self._repair(JOB, now)
-        window = next_window(self._watermark(now), now, self.settings)
+        # the journal of ingest first: what begins later is stamped later than this window
+        arriving = self.store.arriving_since()
+        window = next_window(self._watermark(now), now, self.settings, arriving)
         if window is None:
             return redone, False
         plan = Planned(batch_name(now, f"live-{_ms(window.hi)}"), window.lo, window.hi, FAR_FUTURE)

@@ -83,15 +83,55 @@ def test_stream_splits_good_from_bad_and_restarts_cleanly(spark, store, tmp_path
 def test_repeating_an_ingest_batch_replaces_it(spark, store):
     messages = spark.createDataFrame([(message("a", "c2s", 0),), ("{broken",)], "value string")
     for now in (at(10), at(400_000)):  # the second try is hours later, another arrival day
-        ingest_batch(store, messages, 7, now)
+        ingest_batch(store, messages, 7, lambda now=now: now)
     assert store.read("halfflows").count() == store.read("queue").count() == 1
     assert store.read("ingest_errors").count() == 1
 
 
+def test_a_replayed_batch_keeps_its_first_arrival_time(spark, store):
+    messages = spark.createDataFrame([(message("a", "c2s", 0),)], "value string")
+    ingest_batch(store, messages, 7, lambda: at(10))
+    ingest_batch(store, messages, 7, lambda: at(5000))
+    assert [r["ingested_at"] for r in store.read("queue").collect()] == [at(10)]
+    ingest_batch(store, messages, 8, lambda: at(5000))
+    assert store.read("queue").agg(F.max("ingested_at")).first()[0] == at(5000)
+
+
+def test_a_batch_that_becomes_visible_late_is_stitched(spark, store, lookups):
+    """Its rows are stamped at 60 s and written when stitching would long have passed them."""
+    worker = Stitcher(store, lambda: lookups, StitchSettings(max_window_s=10_000))
+    fill(store, both("early", 0))
+    assert worker.catch_up(at(30)) == 1
+    rows = [(message("late", "c2s", 55),), (message("late", "s2c", 55.01),)]
+    seen = []
+
+    class Slow(Store):
+        def write(self, table, df, batch_id):
+            seen.append(worker.catch_up(at(1000)))  # while the batch is being written
+            super().write(table, df, batch_id)
+
+    ingest_batch(Slow(spark, store.root), spark.createDataFrame(rows, "value string"), 0, lambda: at(60))
+    assert seen == [0, 0, 0] and store.watermark(JOB) < at(60)
+    assert worker.catch_up(at(1001)) == 1
+    assert store.read("sessions").filter("community_id = 'late'").count() == 1
+    assert store.watermark(JOB) == at(991)
+
+
+def test_a_new_checkpoint_keeps_old_rows(spark, store, tmp_path):
+    for turn, cid in enumerate("ab"):
+        inbox = tmp_path / f"inbox{turn}"
+        inbox.mkdir()
+        (inbox / "1.txt").write_text(message(cid, "c2s", turn) + "\n")
+        query = start_ingest(store, file_messages(spark, str(inbox)), str(tmp_path / f"checkpoint{turn}"),
+                             every=None, clock=lambda: at(10))
+        assert query.awaitTermination(120)
+    assert {r["community_id"] for r in store.read("halfflows").collect()} == {"a", "b"}
+
+
 def test_fault_batches(spark, store):
     rows = [(json.dumps({"fault_id": "f", "state": s, "event_at_us": us(0)}),) for s in
             ("started", "ended", "odd")]
-    ingest_fault_batch(store, spark.createDataFrame(rows, "value string"), 0, at(1))
+    ingest_fault_batch(store, spark.createDataFrame(rows, "value string"), 0, lambda: at(1))
     assert store.read("fault_events").count() == 2 and store.read("ingest_errors").count() == 1
 
 
@@ -250,6 +290,13 @@ def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
     store.note(JOB, 0, Planned("x", at(0), at(3000), at(9999)), "done", at(3000))
     span = ["--since", at(-10).isoformat(), "--until", at(110).isoformat()]
     assert jobs.main(["--root", root, "restitch", *span], spark) == 2
+    inbox = tmp_path / "faults"
+    inbox.mkdir()
+    fault = {"fault_id": "f", "state": "started", "event_at_us": us(0)}
+    (inbox / "1.txt").write_text(json.dumps(fault) + "\n")
+    for _ in range(2):
+        jobs.main(["--root", root, "ingest-faults", "--files", str(inbox), "--once"], spark)
+    assert store.read("fault_events").count() == 1
     monkeypatch.setattr(jobs, "utc_now", lambda: at(86_400))
     assert jobs.main(["--root", root, "maintain"], spark) == []
     assert store.read("quality_1m").agg(F.sum("sessions")).first()[0] == 2

@@ -203,6 +203,8 @@ def test_next_window():
     assert next_window(T0, at(30), s) == Window(T0, at(20))
     assert next_window(T0, at(3600), s) == Window(T0, at(120))
     assert next_window(T0, at(5), s) is None
+    assert next_window(T0, at(3600), s, at(60)).hi == at(60) - timedelta(microseconds=1)
+    assert next_window(T0, at(3600), s, T0) is None
 
 
 def test_tiles_have_no_gaps():
