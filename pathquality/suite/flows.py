@@ -25,6 +25,7 @@ from ..plans.stitch import (
     enrich,
     fold_halves,
     not_yet_emitted,
+    quiet_since,
     pair_halves,
     ready,
     stitch_window,
@@ -155,6 +156,55 @@ def quarantine(spark, folder):
     )
 
 
+FAULT_MESSAGE_SQL = """
+    fault_messages AS (
+        SELECT event_id, CASE WHEN event_id % 11 = 0 THEN '' ELSE 'f' || CAST(user_id AS VARCHAR) END AS fault_id,
+            CASE event_type WHEN 'error' THEN 'odd' WHEN 'signup' THEN 'started' ELSE 'ended' END AS state,
+            ts AS event_at, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) < 5 AS broken
+        FROM events
+    )
+"""
+
+
+def fault_messages(spark, folder: str) -> DataFrame:
+    ev = v.table(spark, folder, "events")
+    state = F.when(F.col("event_type") == "error", "odd").when(
+        F.col("event_type") == "signup", "started").otherwise("ended")
+    body = F.to_json(F.struct(
+        F.when(F.col("event_id") % 11 == 0, "").otherwise(v.text("f", F.col("user_id"))).alias("fault_id"),
+        state.alias("state"), F.unix_micros("ts").alias("event_at_us")))
+    broken = F.regexp_extract("props", "[0-9]+", 0).cast("int") < 5
+    return ev.select(
+        F.when(broken, F.concat(F.lit('{"fault_id": '), "event_id")).otherwise(body).alias("value"),
+        F.col("event_id").alias("offset"))
+
+
+@query(
+    "fault_refusals",
+    f"""WITH {FAULT_MESSAGE_SQL}
+    SELECT event_id AS kafka_offset, CASE WHEN broken THEN 'unparsable message'
+            WHEN fault_id = '' THEN 'missing fault_id' ELSE 'invalid state' END AS error,
+        CASE WHEN broken THEN '{{"fault_id": ' || CAST(event_id AS VARCHAR)
+            ELSE '{{"fault_id":"' || fault_id || '","state":"' || state || '"}}' END AS raw_message
+    FROM fault_messages WHERE broken OR fault_id = '' OR state = 'odd'""",
+)
+def fault_refusals(spark, folder):
+    read = wire.parse_faults(fault_messages(spark, folder))
+    return wire.refused(read, wire.FAULT_KEY_FIELDS, MESSAGES_NOW).select("kafka_offset", "error", "raw_message")
+
+
+@query(
+    "fault_events_sink",
+    f"""WITH {FAULT_MESSAGE_SQL}
+    SELECT fault_id, state, max(event_at) AS event_at FROM fault_messages
+    WHERE NOT broken AND fault_id <> '' AND state <> 'odd' GROUP BY fault_id, state""",
+)
+def fault_events_sink(spark, folder):
+    """Accepted fault messages; the last to happen of a fault and state counts."""
+    good = wire.accepted_faults(wire.parse_faults(fault_messages(spark, folder)))
+    return latest_per_key(good, ["fault_id", "state"], ["event_at"]).select("fault_id", "state", "event_at")
+
+
 @query(
     "community_id",
     """SELECT event_id, '1:' || to_base64(unhex(sha1(unhex(
@@ -423,6 +473,27 @@ def anti_join(spark, folder):
     )
 
 
+@query(
+    "anti_join_live",
+    f"""WITH {v.PAIRED_SQL}
+    SELECT community_id, first_seen, bytes FROM paired p WHERE (
+        SELECT max(ingested_at) FROM hf WHERE hf.community_id = p.community_id)
+        <= TIMESTAMP '2024-01-30'""",
+)
+def anti_join_live(spark, folder):
+    """A repair leaves out what live stitching may still touch."""
+    quiet = quiet_since(paired(spark, folder), queue(spark, folder), datetime(2024, 1, 30))
+    return quiet.select("community_id", "first_seen", "bytes")
+
+
+@query(
+    "nth_record",
+    f"WITH {v.HALFFLOW_SQL} SELECT record_id FROM hf ORDER BY record_id LIMIT 1 OFFSET 100",
+)
+def nth_record(spark, folder):
+    return v.halfflows(spark, folder).select("record_id").orderBy("record_id").offset(100).limit(1)
+
+
 @query(
     "lost_sessions_audit",
     f"""WITH {v.PAIRED_SQL}, earlier AS ({EARLIER_SQL})
@@ -547,6 +618,20 @@ def stitch_sessions(spark, folder):
     return stitched(spark, folder)
 
 
+@query("stitch_windows", f"WITH {STITCHED_SQL} SELECT community_id, session_start FROM stitched")
+def stitch_windows(spark, folder):
+    """The same time in two windows, the second of which leaves out what the first has written:
+    together they emit every session once."""
+    flows = v.halfflows(spark, folder)
+    written = flows.select("community_id", F.col("first_seen").alias("session_start")).limit(0)
+    for lo, hi in ((v.FLOW_LO, EARLIER), (EARLIER, v.FLOW_HI)):
+        made = stitch_window(flows, wire.queue_rows(flows), written, v.inventory(spark, folder),
+                             Window(lo, hi), v.FLOW_NOW, v.FLOW_SETTINGS)
+        if made is not None:
+            written = written.unionByName(made.select("community_id", "session_start"))
+    return written
+
+
 def due(spark, folder: str) -> DataFrame:
     return ready(paired(spark, folder), v.FLOW_HI, v.FLOW_SETTINGS.idle_timeout_s)
 

@@ -463,7 +463,7 @@ NOW_SQL = "TIMESTAMP '2001-11-01'"
 FAULT_SQL = """
     fault_events AS (
         SELECT 'f' || CAST(user_id AS VARCHAR) AS fault_id,
-            CASE WHEN event_type = 'signup' THEN 'started' ELSE 'ended' END AS state,
+            CASE WHEN event_type IN ('purchase', 'click') THEN 'ended' ELSE 'started' END AS state,
             ts AS event_at,
             CASE WHEN event_id % 4 = 0 THEN 'slow' WHEN event_id % 4 = 3 THEN 'down'
                  ELSE 'degrade' END AS kind,
@@ -473,19 +473,19 @@ FAULT_SQL = """
             'fault of ' || CAST(user_id AS VARCHAR) AS label, 'schedule' AS source,
             ts AS start_at, ts + INTERVAL 3 DAY AS end_at,
             value * 30 AS latency_ms, value / 400 AS loss, 1 + value / 2 AS server_factor, event_id
-        FROM events WHERE event_type IN ('signup', 'purchase')
+        FROM events
     )
 """
 
 
 def fault_events(spark: SparkSession, folder: str) -> DataFrame:
-    ev = table(spark, folder, "events").filter(F.col("event_type").isin("signup", "purchase"))
+    ev = table(spark, folder, "events")
     user, event = F.col("user_id"), F.col("event_id")
     kind = F.when(event % 4 == 0, "slow").when(event % 4 == 3, "down").otherwise("degrade")
     target_type = F.when(event % 4 == 0, "app").when(event % 3 == 0, "switch").otherwise("circuit")
     return ev.select(
         text("f", user).alias("fault_id"),
-        F.when(F.col("event_type") == "signup", "started").otherwise("ended").alias("state"),
+        F.when(F.col("event_type").isin("purchase", "click"), "ended").otherwise("started").alias("state"),
         F.col("ts").alias("event_at"),
         kind.alias("kind"),
         text(target_type, ":", user % 25).alias("target"),
