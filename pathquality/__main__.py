@@ -28,6 +28,17 @@ from .streaming.ingest import (
 from .streaming.stitcher import Stitcher
 
 
+# How the partial rows of a closed day become final ones. Rows stay as they are, but move
+# together: ranges of the leading sort column, so that few files hold what a reader looks for.
+MERGES = {
+    "halfflows": lambda rows: rows.repartitionByRange("first_seen"),
+    "queue": lambda rows: rows.repartitionByRange("ingested_at"),
+    "sessions": lambda rows: rows.repartitionByRange("branch_id", "session_start"),
+    "quality_1m": merge_quality,
+    "element_1m": merge_element,
+}
+
+
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pathquality")
     parser.add_argument("--root", help="table folder; by default under spark.checkpoint.dir")
@@ -47,7 +58,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     again = sub.add_parser("restitch", help="fill missing sessions of a past range")
     again.add_argument("--since", type=datetime.fromisoformat, required=True)
     again.add_argument("--until", type=datetime.fromisoformat, required=True)
-    sub.add_parser("maintain", help="compact yesterday's rollups and drop expired days")
+    sub.add_parser("maintain", help="compact yesterday's tables and drop expired days")
     return parser.parse_args(argv)
 
 
@@ -82,9 +93,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
     if args.job == "maintain":
         now = utc_now()
         yesterday = now.date() - timedelta(days=1)
-        for table, merge in (("quality_1m", merge_quality), ("element_1m", merge_element)):
+        for table, merge in MERGES.items():
+            store.vacuum(table)  # of the round before, which no reader uses any more
             store.compact(table, yesterday, merge)
-            store.vacuum(table)
         return store.expire(now.date())
     stopped: list[int] = []
     for number in (signal.SIGTERM, signal.SIGINT):

@@ -1,7 +1,8 @@
 """Continuous ingest: a topic of messages becomes half-flows, queue rows and refusals.
 
-A batch is named after its stream, by the id its checkpoint holds, and its number, so a stream
-with a new checkpoint never replaces what an earlier one wrote. It is journalled with its
+A batch is named after its arrival time, its stream, by the id its checkpoint holds, and its
+number, so a stream with a new checkpoint never replaces what an earlier one wrote, and names
+sort as batches arrived. It is journalled with its
 arrival time before anything is written and again when all is written. A replayed batch keeps
 its first arrival time, and stitching never passes the arrival time of a batch that is still
 being written: however long that takes, its rows are visible when their window is read.
@@ -20,7 +21,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..sources import wire
 from ..settings import StitchSettings
 from ..sources.files import join
-from ..sources.store import INGEST, Planned, Store
+from ..sources.store import INGEST, Planned, Store, batch_name
 
 # The topics of flows and of fault events.
 FLOW_TOPIC = "netflow.halfflows.v1"
@@ -59,28 +60,28 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads("".join(r["value"] for r in lines))["id"]
 
 
-def _begin(store: Store, stream: str, name: str, clock: Clock) -> Planned:
-    """Journal a batch. A batch that began before keeps its arrival time; a new one is only
-    stamped by a journal entry that was written well before stitching could pass the stamp."""
-    job = f"{INGEST}{stream}"
+def _begin(store: Store, stream: str, batch_id: int, clock: Clock) -> Planned:
+    """Journal a batch. A batch that began before keeps its name and arrival time; a new one is
+    only stamped by a journal entry that was written well before stitching could pass the
+    stamp."""
+    job, own = f"{INGEST}{stream}", f"{stream}-{batch_id:015d}"
     known = store.newest(job)
-    if known is not None and known.batch_id == name:
+    if known is not None and known.batch_id.endswith(f"-{own}"):
         return known
     patience = timedelta(seconds=StitchSettings().safety_s / 2)
     while True:
         stamp = clock()
-        plan = Planned(name, stamp, stamp, stamp)
+        plan = Planned(batch_name(stamp, own), stamp, stamp, stamp)
         store.note(job, 0, plan, "planned", stamp)
         if clock() - stamp <= patience:
             return plan
 
 
 def _write(store: Store, stream: str, batch_id: int, clock: Clock, tables, fill) -> None:
-    name = f"{batch_id:015d}-{stream}"
-    plan = _begin(store, stream, name, clock)
+    plan = _begin(store, stream, batch_id, clock)
     for table in tables:
-        store.discard(table, name)
-    fill(name, plan.lo)
+        store.discard(table, plan.batch_id)
+    fill(plan.batch_id, plan.lo)
     store.note(f"{INGEST}{stream}", 0, plan, "done", plan.lo)
 
 

@@ -23,7 +23,7 @@ from pathquality.streaming.ingest import (
 )
 from pathquality.streaming.stitcher import JOB, REPAIR, Stitcher
 
-from .network import at, halfflows, inventory_tables, record, us
+from .network import T0, at, halfflows, inventory_tables, record, us
 
 
 @pytest.fixture
@@ -235,6 +235,36 @@ def test_compaction_keeps_totals_and_accepts_later_batches(store, lookups):
     assert totals()[:2] == (4, 4)
 
 
+def test_a_compacted_day_is_few_files_and_stitches_alike(store, lookups):
+    from pathquality.__main__ import MERGES
+    from pathquality.sources.files import matching
+
+    for i in range(20):
+        fill(store, both(f"c{i}", i), f"{i:015d}-flows")
+    worker = Stitcher(store, lambda: lookups, StitchSettings(max_window_s=500))
+    before = store.read("halfflows"), store.read("queue")  # readers that began before
+    counts = [df.count() for df in before]
+    for table in ("halfflows", "queue"):
+        store.compact(table, T0.date(), MERGES[table])
+    assert [df.count() for df in before] == counts
+    assert worker.catch_up(at(100)) == 20 and store.read("halfflows").count() == counts[0]
+    store.compact("sessions", T0.date(), MERGES["sessions"])
+    for table in ("halfflows", "queue", "sessions"):
+        store.vacuum(table)
+        assert len(matching(store.spark, f"{store.root}/{table}/day=*/batch_id=*")) == 1
+        assert len(matching(store.spark, f"{store.root}/{table}/day=*/batch_id=*/*.parquet")) <= 2
+    assert worker.catch_up(at(2000)) == 0 and store.read("sessions").count() == 20
+    fill(store, both("late", 1900, ingested_at=at(2000)), "000000000000999-flows")
+    assert worker.catch_up(at(2100)) == 1
+
+
+def test_an_open_batch_forbids_compaction(spark, store):
+    store.note("ingest-x", 0, Planned("b", at(0), at(0), at(0)), "planned", at(0))
+    fill(store, both("a", 0))
+    with pytest.raises(RuntimeError):
+        store.compact("halfflows", T0.date(), lambda rows: rows)
+
+
 def test_retention_drops_whole_days(spark, store):
     for days in (0, 3, 9):
         first = -days * 86_400.0
