@@ -90,6 +90,41 @@ def fold_halves(records: DataFrame) -> DataFrame:
     )
 
 
+def fold_arrivals(records: DataFrame) -> DataFrame:
+    """`drop_replays` and `fold_halves` together. A replay has its original's half key, so one
+    exchange on that key serves them all: the keys of the three steps are prefixes of one
+    another, and so are the orders their aggregates need."""
+    stamps = tuple(PACKET_TIMES.values())
+    carried = (*HALF_ATTRIBUTES, "bytes", "packets", "retrans_packets", "is_final", "flow_end",
+               "ingested_at", *stamps)
+    first = F.struct("ingested_at", *[c for c in carried if c != "ingested_at"])
+    once = (
+        records.repartition(*HALF_KEY)
+        .groupBy(*HALF_KEY, "record_seq", "record_id")
+        .agg(F.min_by(first, first).alias("r"))
+        .select(*HALF_KEY, "record_seq", *[F.col(f"r.{c}") for c in carried])
+    )
+    per_seq = once.groupBy(*HALF_KEY, "record_seq").agg(
+        *[F.min(c).alias(c) for c in HALF_ATTRIBUTES],
+        *[F.sum(c).alias(c) for c in ("bytes", "packets", "retrans_packets")],
+        *[F.max(c).alias(c) for c in ("is_final", "flow_end", "ingested_at", *stamps)],
+        F.count(F.lit(1)).alias("n"),
+    )
+    opening = F.col("record_seq") == 0
+    return per_seq.groupBy(*HALF_KEY).agg(
+        *[F.min(c).alias(c) for c in HALF_ATTRIBUTES],
+        F.sum("bytes").alias("bytes"),
+        F.sum("packets").alias("packets"),
+        F.sum("retrans_packets").alias("retrans"),
+        (F.max("is_final") & (F.count("record_seq") == F.max("record_seq") + 1)).alias("whole"),
+        F.sum("n").alias("n_records"),
+        F.max("flow_end").alias("last_seen"),
+        F.max("ingested_at").alias("last_ingest"),
+        *[F.coalesce(F.max(F.when(opening, F.unix_micros(source))), F.lit(0)).alias(name)
+          for name, source in PACKET_TIMES.items()],
+    )
+
+
 def pair_halves(halves: DataFrame, tolerance_ms: int, skew_ms: int) -> DataFrame:
     """One row per client-to-server half with the return half's values in s_* columns.
 
@@ -273,7 +308,7 @@ def stitch_window(
     records = halfflows.filter(F.col("first_seen") >= since).join(
         ids, "community_id", "left_semi"
     )
-    halves = fold_halves(drop_replays(records))
+    halves = fold_arrivals(records)
     paired = pair_halves(halves, settings.pair_tolerance_ms, settings.probe_skew_ms)
     due = ready(paired, window.hi, settings.idle_timeout_s)
     if live_from < FAR_FUTURE:

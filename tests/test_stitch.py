@@ -9,8 +9,9 @@ from pathquality.functions.clock import FAR_FUTURE
 from pathquality.functions.quality import add_score, add_timings
 from pathquality.plans.stitch import (
     Window,
-    fold_halves,
     drop_replays,
+    fold_arrivals,
+    fold_halves,
     next_window,
     pair_halves,
     stitch_window,
@@ -101,6 +102,18 @@ def test_completeness(spark, seqs, final, whole):
     assert half["whole"] is whole and half["bytes"] == 1000 * len(seqs)
 
 
+def test_one_exchange_folds_alike(spark):
+    rows = [record("a", "c2s", 0, seq=i % 4, final=i % 4 == 3, record_id=f"{i % 7:016d}", bytes=i % 7)
+            for i in range(7)] + [*pair("b", 3), *pair("c", 5)]
+    rows += [dict(r, ingested_at=r["ingested_at"] + timedelta(seconds=9)) for r in rows[2:]]
+    flows = halfflows(spark, rows)
+    one, many = fold_arrivals(flows), fold_halves(drop_replays(flows))
+    assert one.columns == many.columns
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    plan = fold_arrivals(flows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_unfinished_session_waits_for_the_idle_timeout(spark):
     rows = [record("a", "c2s", 0, final=False, ingested_at=at(0))]
     assert sessions_of(spark, rows, lo=-1, hi=100) == []
