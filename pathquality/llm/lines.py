@@ -121,10 +121,11 @@ def overlaps(docs: DataFrame, rare: int = RARE, common: int = COMMON,
     lines = stored(texts.mapInArrow(
         _lines, "doc_id long, row_key long, line long, at int, place int, words int"), "lines")
     # a row that repeats has the same lines at the same places
-    first = lines.groupBy("line").agg(
+    # written, so that both sides of the join are plain exchanges, which Spark splits if skewed
+    first = stored(lines.groupBy("line").agg(
         F.min(F.struct("doc_id", "row_key", "at")).alias("first"),
         F.max("doc_id").alias("latest"), F.count(F.lit(1)).alias("n_docs"),
-    ).filter("latest > first.doc_id")
+    ).filter("latest > first.doc_id"), "line-owners")
     shared = lines.join(first, "line").filter("doc_id > first.doc_id")
     grouped = shared.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct(  # one document's lines
         F.col("first.doc_id").alias("other"), F.col("first.row_key").alias("other_key"), "at",
