@@ -11,13 +11,14 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
+from pathquality.suite import all_queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = all_queries()  # those of llm/ have tests of their own
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
