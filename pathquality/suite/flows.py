@@ -379,8 +379,9 @@ def pairs(spark, folder):
 
 def clicks_and_purchases(spark, folder: str):
     ev = v.table(spark, folder, "events")
-    left = ev.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts")
-    right = ev.filter(F.col("event_type") == "purchase").select(
+    ends = F.col("event_type").isin("purchase", "signup")
+    left = ev.filter(~ends).select("event_id", "user_id", "ts")
+    right = ev.filter(ends).select(
         "user_id", F.col("ts").alias("at"), F.col("event_id").alias("purchase_id")
     )
     return left, right
@@ -393,9 +394,9 @@ def no_null_ids(df: DataFrame) -> DataFrame:
 
 ASOF_SQL = """
     FROM (SELECT event_id, user_id, ts, ts - INTERVAL {skew} SECOND AS from_ts
-          FROM events WHERE event_type = 'click') l
+          FROM events WHERE event_type NOT IN ('purchase', 'signup')) l
     ASOF LEFT JOIN (SELECT user_id, ts AS at, event_id AS purchase_id
-                    FROM events WHERE event_type = 'purchase') r
+                    FROM events WHERE event_type IN ('purchase', 'signup')) r
         ON l.user_id = r.user_id AND l.from_ts <= r.at
 """
 NEAR = "abs(epoch_us(r.at) // 1000 - epoch_us(l.ts) // 1000) <= 21600000"
