@@ -15,6 +15,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -88,16 +89,30 @@ def _meanings(attributes: str) -> frozenset[str]:
 @dataclass
 class Block:
     text: str
-    inside: list[tuple[str, frozenset[str]]]  # (tag, meanings), the outermost first
-    linked: int  # characters inside links
+    near: str               # the block-level element it lies in
+    around: frozenset[str]  # what the elements around it tell
+    linked: int             # characters inside links
+
+
+def _within(around: frozenset[str], tag: str, meaning: frozenset[str]) -> frozenset[str]:
+    """What is known inside an element, given what is known around it. The set has a bounded
+    number of members, however deep elements nest."""
+    if tag in INLINE or tag in ("html", "body"):
+        return around
+    own = {f"about {m}" for m in meaning}
+    if tag in ("article", "main"):
+        own.add("inner")
+    own.add("inner header" if tag == "header" and "inner" in around else f"under {tag}")
+    return around if own <= around else around | own
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[tuple[str, str, frozenset[str]]] = []  # (tag, near, around)
+    open_: Counter = Counter()
     pieces: list[str] = []
-    linked = hidden = links = 0
+    linked = hidden = links = paragraphs = 0  # the last three: open elements
     memo: dict[str, frozenset[str]] = {}
 
     def flush() -> None:
@@ -105,15 +120,18 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                out.append(Block(text, [s for s in stack if s[0] not in INLINE], min(linked, len(text))))
+                near, around = stack[-1][1:] if stack else ("", frozenset())
+                out.append(Block(text, near, around, min(linked, len(text))))
             pieces.clear()
             linked = 0
 
     def pop() -> None:
-        nonlocal hidden, links
-        tag, _ = stack.pop()
+        nonlocal hidden, links, paragraphs
+        tag = stack.pop()[0]
+        open_[tag] -= 1
         hidden -= tag in HIDDEN
         links -= tag == "a"
+        paragraphs -= tag == "p"
 
     at, end = 0, len(page)
     while at < end:
@@ -140,7 +158,9 @@ def blocks(page: str) -> list[Block]:
         if slash:
             if tag not in PHRASING:
                 flush()
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = None
+            if open_[tag]:
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
             if depth is not None and not (tag in PHRASING and any(s[0] not in PHRASING for s in stack[depth:])):
                 while len(stack) > depth:
                     pop()
@@ -150,14 +170,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag not in PHRASING:
             flush()
-            while stack and stack[-1][0] == "p":
-                pop()
-            if stack and any(s[0] == "p" for s in stack):  # a block ends an open paragraph
-                while stack[-1][0] in PHRASING or stack[-1][0] == "p":
-                    was = stack[-1][0]
-                    pop()
-                    if was == "p":
-                        break
+            while paragraphs and (stack[-1][0] in PHRASING or stack[-1][0] == "p"):
+                pop()  # a block ends an open paragraph
         if tag in CLOSES:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in CLOSES[tag]:
@@ -175,28 +189,21 @@ def blocks(page: str) -> list[Block]:
         meaning = memo.get(attributes)
         if meaning is None:
             meaning = memo[attributes] = _meanings(attributes) if attributes.strip() else frozenset()
-        stack.append((tag, meaning))
+        near, around = stack[-1][1:] if stack else ("", frozenset())
+        stack.append((tag, near if tag in INLINE else tag, _within(around, tag, meaning)))
+        open_[tag] += 1
         hidden += tag in HIDDEN
         links += tag == "a"
+        paragraphs += tag == "p"
     flush()
     return out
 
 
 def features(block: Block) -> list[str]:
-    out = {"bias"}
-    near = block.inside[-1][0] if block.inside else ""
-    out.add(f"in {near}")
-    inner = False  # inside an element that names the main text
-    for tag, meaning in block.inside:
-        if tag in ("html", "body"):
-            continue
-        if tag in ("article", "main"):
-            inner = True
-        if tag == "header" and inner:
-            out.add("article header " + ("title" if near in ("h1", "h2") else "rest"))
-        else:
-            out.add(f"under {tag}")
-        out.update(f"about {m}" for m in meaning)
+    near = block.near
+    out = {"bias", f"in {near}", *block.around} - {"inner", "inner header"}
+    if "inner header" in block.around:
+        out.add("article header " + ("title" if near in ("h1", "h2") else "rest"))
     if not {"under article", "under main", "about content"} & out:
         out.add("no container")
     text, words = block.text, block.text.count(" ") + 1
