@@ -1,5 +1,6 @@
 """The given tables read as the library's own: half-flows from `events`, sessions from the
-order tables, an inventory from the small tables. Nothing is filtered out.
+order tables, an inventory from the small tables. Every row of the tables is read; only the SLA
+targets of the estate name some applications and not others, so that defaults are met too.
 
 Each view exists twice, as a DataFrame and as SQL for the oracle.
 """
