@@ -31,7 +31,8 @@ CENTRES = 64          # top-level cells, at most
 PER_CELL = 500        # rows for which another cell is worth its tree
 SAMPLE = 4096         # rows that the centres are chosen from, at most about
 PER_PART = 20_000     # rows of one cell in one task
-LEAF = 48
+LEAF = 512            # rows below which a node is compared as a block, and queries
+QUERY_LEAF = 128
 
 _VECTOR = "vec_id long, dim int, cell int, vector binary"
 
@@ -86,16 +87,21 @@ class Best:
         return float(self.score[rows, -1].min())
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        if scores.shape[1] > 4 * self.k:  # only those that reach the k-th best can enter
+        cut = self.score[rows, -1]
+        if scores.shape[1] > self.k:  # only those that reach the block's k-th best can enter
             kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, -self.k]
-            useful = (scores >= np.maximum(kth, self.score[rows, -1])[:, None]).any(axis=0)
-            scores, ids = scores[:, useful], ids[useful]
-        all_scores = np.concatenate([self.score[rows], scores], axis=1)
-        all_ids = np.concatenate(
-            [self.ids[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, :self.k]
-        self.score[rows] = np.take_along_axis(all_scores, order, axis=1)
-        self.ids[rows] = np.take_along_axis(all_ids, order, axis=1)
+            cut = np.maximum(cut, kth)
+        row, col = np.nonzero((scores >= cut[:, None]) & (scores > -np.inf))
+        if not len(row):
+            return
+        n = len(rows)
+        owner = np.concatenate([np.repeat(np.arange(n), self.k), row])
+        score = np.concatenate([self.score[rows].ravel(), scores[row, col]])
+        found = np.concatenate([self.ids[rows].ravel(), ids[col]])
+        order = np.lexsort((found, -score, owner))
+        first = np.searchsorted(owner[order], np.arange(n))
+        best = order[first[:, None] + np.arange(self.k)]
+        self.score[rows], self.ids[rows] = score[best], found[best]
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray,
@@ -105,7 +111,7 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, id
     best = Best(len(queries), k)
     if not len(queries) or not len(data):
         return best
-    stack = [(cover_tree(queries), cover_tree(data))]
+    stack = [(cover_tree(queries, leaf=QUERY_LEAF), cover_tree(data))]
     while stack:
         q, p = stack.pop()
         bound = float(q.centre @ p.centre) + q.radius * p.norm + p.radius * q.norm + q.radius * p.radius
