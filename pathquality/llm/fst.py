@@ -18,6 +18,7 @@ the lattice is composed word by word; words met before are looked up.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import struct
@@ -32,6 +33,7 @@ MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 MEMO = 400_000  # words of a generation, and pairs, that a worker remembers
 _APART = 1 << 32
+_PIECE = ""  # marks the end of an arc
 
 # The piece types and model types of the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -76,8 +78,10 @@ class Model:
     dummy_prefix: bool
     trim: bool
     unknown: int
+    name: str = ""
     lexicon: dict[str, int] = field(default_factory=dict)
     bytes_: list[int] = field(default_factory=list)
+    output: list[bytes] = field(default_factory=list)
     longest: int = 1
 
     @classmethod
@@ -101,8 +105,12 @@ class Model:
             raise ValueError("only unigram and byte-pair models are supported")
         model = cls(
             pieces, scores, kinds, trainer.get(3, UNIGRAM) == BPE, bool(trainer.get(35, 0)),
-            bool(rules.get(3, 1)), bool(rules.get(4, 1)), kinds.index(UNKNOWN))
+            bool(rules.get(3, 1)), bool(rules.get(4, 1)), kinds.index(UNKNOWN),
+            hashlib.sha256(data).hexdigest())
         model.lexicon = {p: i for i, p in enumerate(pieces) if kinds[i] in (NORMAL, USER)}
+        model.output = [
+            p.encode() if kind in (NORMAL, USER) else bytes([int(p[3:5], 16)]) if kind == BYTE else b""
+            for p, kind in zip(pieces, kinds, strict=True)]
         model.longest = max(map(len, model.lexicon), default=1)
         if model.byte_fallback:
             at = {int(p[3:5], 16): i for i, p in enumerate(pieces) if kinds[i] == BYTE}
@@ -126,14 +134,7 @@ class Model:
 
     def decode(self, ids: list[int]) -> str:
         """The inverse transducer: pieces to characters, runs of bytes to UTF-8."""
-        out: list[bytes] = []
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                out.append(bytes([int(self.pieces[i][3:5], 16)]))
-            elif kind in (NORMAL, USER):
-                out.append(self.pieces[i].encode())
-        text = b"".join(out).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.output.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -145,6 +146,12 @@ class Encoder:
         self.words: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
+        self.endings: dict = {}  # the lexicon's arcs, read from the end of a piece
+        for piece, at in model.lexicon.items():
+            node = self.endings
+            for char in reversed(piece):
+                node = node.setdefault(char, {})
+            node[_PIECE] = at
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -186,15 +193,21 @@ class Encoder:
     def _merged(self, word: str) -> list[str]:
         """One finite path leads to every place; `last` is the piece that ends it, as its id or,
         for a character without a piece, minus its code point."""
-        get, longest, pairs = self.model.lexicon.get, self.model.longest, self.pairs
+        pairs = self.pairs
         back, last = [0] * (len(word) + 1), [0] * (len(word) + 1)
         for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                at = get(word[start:end])
-                if at is None:
-                    if end - start > 1:
-                        continue
-                    at = -ord(word[start])
+            ends, start = [], end
+            node = self.endings
+            while start:  # pieces that end here, the shortest first
+                start -= 1
+                node = node.get(word[start])
+                if node is None:
+                    break
+                if _PIECE in node:
+                    ends.append((start, node[_PIECE]))
+            if not ends or ends[0][0] != end - 1:
+                ends.insert(0, (end - 1, -ord(word[end - 1])))
+            for start, at in reversed(ends):
                 key = last[start] * _APART + at  # nothing is before the first piece: 0
                 allowed = pairs.get(key)
                 if allowed is None:
@@ -235,9 +248,20 @@ class Encoder:
             parts[where:where + 2] = [parts[where] + parts[where + 1]]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(model: Model) -> Encoder:
+    """A worker keeps what it knows of a model's words from task to task."""
+    if model.name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model.name] = Encoder(model)
+    return _ENCODERS[model.name]
+
+
 def _encode(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = _encoder(model)
         for batch in batches:
             ids, back = [], []
             for text in batch.column("text").to_pylist():
