@@ -116,9 +116,10 @@ def _differing(docs: DataFrame, rows: DataFrame, chunk: int) -> DataFrame:
     """The rows whose text differs from that of their group's representative. Both sides are
     cut into chunks; large groups are dealt over salts, the representative to each of them."""
     group = ("fp", "n_bytes", "variant")
-    groups = rows.groupBy(*group).agg(
+    # written, so that both sides of the join are plain exchanges, which Spark splits if skewed
+    groups = stored(rows.groupBy(*group).agg(
         F.max(F.struct("doc_id", "row_key")).alias("rep"), F.count(F.lit(1)).alias("n")
-    ).filter("n > 1").withColumn("salts", F.ceil(F.col("n") / PER_SALT).cast("int"))
+    ).filter("n > 1").withColumn("salts", F.ceil(F.col("n") / PER_SALT).cast("int")), "exact-groups")
     held = rows.select("doc_id", "row_key", *group).join(groups, list(group))
     is_rep = (F.col("doc_id").eqNullSafe(F.col("rep.doc_id"))
               & F.col("row_key").eqNullSafe(F.col("rep.row_key")))
@@ -165,8 +166,8 @@ def exact_duplicates(docs: DataFrame, chunk: int = CHUNK, prime: int = PRIME) ->
                      ).drop("d", "k", "bad"), "exact-rows")
         checked = rows.filter(F.col("variant") == turn)
     group = ["fp", "n_bytes", "variant"]
-    groups = rows.groupBy(*group).agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = stored(rows.groupBy(*group).agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "exact-groups")
     return rows.join(groups, group).select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
