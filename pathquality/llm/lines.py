@@ -1,22 +1,22 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through shared lines: every line (and its n-th repetition
-within a document, so that a line is unique there) points to the earliest document that has it,
-which makes one link per line and document and never all pairs. A later document is aligned
-with each earlier one it points to as in patience diff: the shared lines, unique in both, are
-anchors, and the longest run of them in the order of both documents is the alignment. Aligned
-lines that are neighbours in both documents form a block; blocks are deleted from the later
-document.
-
-A line is rare if at most RARE documents have it. A block with a rare line is an overlap of the
-two documents and goes; a block of frequent lines alone, such as a slogan that many documents
-end with, goes only if it is a passage, that is if it has at least COMMON words.
+Documents that overlap are found through shared keys, each of which points to the earliest
+document that has it, so there are never all pairs. Keys are every line (and its n-th repetition
+within a document), every run of lines just long enough to be a passage, and the whole of a
+document that is shorter. Of the documents a later one points to, those by a rare line, by a run
+and the one most of its words point to are its candidates. It is aligned with the whole of each:
+as in patience diff, lines unique in both are anchors, the longest run of anchors in the order of
+both is the alignment, and equal lines next to aligned ones join it. Aligned lines that are
+neighbours in both documents form a block.
+
+A block with a line that at most RARE documents have is an overlap of the two documents and goes;
+a block of frequent lines alone goes only if it is a passage, that is has at least COMMON words.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +32,40 @@ COMMON = 20
 MIN_WORDS = 3  # of a block with a rare line
 
 
-def line_keys(text: bytes) -> list[tuple[int, int, int]]:
-    """(place among all lines, key, words) of the lines that are not blank. The key hashes the
-    trimmed line and how often it came before."""
-    out, seen = [], Counter()
-    for at, line in enumerate(text.split(b"\n")):
+def line_list(text: bytes) -> list[tuple[int, int, int]]:
+    """(place among all lines, hash, words) of the lines that are not blank, trimmed."""
+    out = []
+    for place, line in enumerate(text.split(b"\n")):
         line = line.strip()
         if line:
-            out.append((at, xxhash.xxh64_intdigest(line, seen[line]), len(line.split())))
-            seen[line] += 1
+            out.append((place, xxhash.xxh64_intdigest(line), len(line.split())))
+    return out
+
+
+def counted(hashes: list[int]) -> list[tuple[int, int]]:
+    """Each with how often it came before."""
+    seen, out = Counter(), []
+    for h in hashes:
+        out.append((h, seen[h]))
+        seen[h] += 1
+    return out
+
+
+def keys(hashes: list[int], words: list[int], common: int = COMMON) -> list[tuple[int, int, bool]]:
+    """(key, number of its first line, is it a run) of lines, runs and short wholes."""
+    packed = np.array(hashes, dtype="<u8").tobytes()
+    digest = xxhash.xxh64_intdigest
+    out = [(digest(packed[8 * i:8 * i + 8], n), i, False) for i, (_, n) in enumerate(counted(hashes))]
+    stop = held = 0
+    for i, w in enumerate(words):
+        while stop < len(words) and held < common:
+            held += words[stop]
+            stop += 1
+        if held < common and i:
+            break
+        if stop > i + 1:
+            out.append((digest(packed[8 * i:8 * stop], 2**63 + (held < common)), i, True))
+        held -= w
     return out
 
 
@@ -64,49 +89,118 @@ def longest_run(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def deletions(shared: list[dict], rare: int = RARE, common: int = COMMON,
-              min_words: int = MIN_WORDS) -> set[int]:
-    """Places of the lines to delete from a document. `shared`: its lines that an earlier
-    document has, with `other` (that document), `at` and `at_other` (numbers among the lines
-    that are not blank), `place`, `words` and `n_docs`."""
-    partners: dict[tuple, list[dict]] = {}
-    for line in shared:
-        partners.setdefault((line["other"], line["other_key"]), []).append(line)
-    gone: set[int] = set()
-    for lines in partners.values():
-        lines.sort(key=lambda x: x["at"])
-        aligned = [lines[i] for i in longest_run([x["at_other"] for x in lines])]
-        block: list[dict] = []
-        for line in [*aligned, None]:
-            if block and (line is None or line["at"] != block[-1]["at"] + 1
-                          or line["at_other"] != block[-1]["at_other"] + 1):
-                words = sum(x["words"] for x in block)
-                if words >= common or words >= min_words and any(x["n_docs"] <= rare for x in block):
-                    gone.update(x["place"] for x in block)
-                block = []
-            if line is not None:
-                block.append(line)
-    return gone
-
-
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def align(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
+    """Pairs of line numbers, increasing in both."""
+    at_earlier = {k: j for j, k in enumerate(counted(earlier))}
+    anchors = [(i, at_earlier[k]) for i, k in enumerate(counted(later)) if k in at_earlier]
+    anchors = [anchors[a] for a in longest_run([j for _, j in anchors])]
+    out, low = [], (-1, -1)
+    for n, (i, j) in enumerate(anchors):
+        before = []
+        a, b = i - 1, j - 1
+        while a > low[0] and b > low[1] and later[a] == earlier[b]:
+            before.append((a, b))
+            a, b = a - 1, b - 1
+        out += [*reversed(before), (i, j)]
+        top = anchors[n + 1] if n + 1 < len(anchors) else (len(later), len(earlier))
+        low = (i, j)
+        a, b = i + 1, j + 1
+        while a < top[0] and b < top[1] and later[a] == earlier[b]:
+            out.append((a, b))
+            low = (a, b)
+            a, b = a + 1, b + 1
+    return out
+
+
+def deletions(later: list[int], earlier: list[int], words: list[int], rare: set[int],
+              common: int = COMMON, min_words: int = MIN_WORDS) -> list[int]:
+    """Numbers of the lines to delete from the later of two documents, given the hashes of their
+    lines. `words` and `rare` (numbers of the lines that few documents have) are the later's."""
+    blocks: list[list[int]] = []
+    before = None
+    for i, j in align(later, earlier):
+        if before != (i - 1, j - 1):
+            blocks.append([])
+        blocks[-1].append(i)
+        before = (i, j)
+    held = [sum(words[i] for i in b) for b in blocks]
+    return [i for b, w in zip(blocks, held, strict=True)
+            if w >= common or w >= min_words and not rare.isdisjoint(b) for i in b]
+
+
+_LISTS = "doc_id long, row_key long, hashes binary, words binary, places binary"
+_KEYS = "doc_id long, row_key long, key long, at int, run boolean"
+
+
+def _line_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [line_list(t) for t in strings(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("row_key"),
+             *(pa.array([np.array([x[c] for x in f], dtype=t).tobytes() for f in found], pa.binary())
+               for c, t in ((1, "<u8"), (2, "<i4"), (0, "<i4")))],
+            ["doc_id", "row_key", "hashes", "words", "places"])
+
+
+def _unpack(packed: bytes, kind: str) -> list[int]:
+    return np.frombuffer(packed, dtype=kind).tolist()
+
+
+def _keys(common: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [keys(_unpack(h, "<u8"), _unpack(w, "<i4"), common) for h, w in zip(
+                batch.column("hashes").to_pylist(), batch.column("words").to_pylist(), strict=True)]
+            take = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(take), batch.column("row_key").take(take),
+                 pa.array(signed(np.array([k for f in found for k, _, _ in f], dtype=np.uint64))),
+                 pa.array([i for f in found for _, i, _ in f], pa.int32()),
+                 pa.array([r for f in found for _, _, r in f], pa.bool_())],
+                ["doc_id", "row_key", "key", "at", "run"])
+    return run
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the links of a document to the documents it is to be aligned with."""
     for batch in batches:
-        found = [line_keys(t) for t in strings(batch.column("text"))]
-        take = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+        take, other, other_key, rares = [], [], [], []
+        for row, (found, words) in enumerate(zip(
+                batch.column("found").to_pylist(), batch.column("words").to_pylist(), strict=True)):
+            words = _unpack(words, "<i4")
+            weight: dict[tuple, int] = defaultdict(int)
+            wanted, rare = set(), set()
+            for x in found:
+                to = x["other"], x["other_key"]
+                if x["run"] or x["rare"]:
+                    wanted.add(to)
+                if not x["run"]:
+                    weight[to] += words[x["at"]]
+                    if x["rare"]:
+                        rare.add(x["at"])
+            if weight:
+                wanted.add(min(weight, key=lambda to: (-weight[to], to)))
+            for to in sorted(wanted):
+                take.append(row)
+                other.append(to[0])
+                other_key.append(to[1])
+                rares.append(sorted(rare))
+        at = pa.array(take, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(take), batch.column("row_key").take(take),
-             pa.array(signed(np.array([k for f in found for _, k, _ in f], dtype=np.uint64))),
-             pa.array([i for f in found for i in range(len(f))], pa.int32()),
-             pa.array([p for f in found for p, _, _ in f], pa.int32()),
-             pa.array([w for f in found for _, _, w in f], pa.int32())],
-            ["doc_id", "row_key", "line", "at", "place", "words"])
+            [*(batch.column(c).take(at) for c in ("doc_id", "row_key", "hashes", "words", "places")),
+             pa.array(other, pa.int64()), pa.array(other_key, pa.int64()), pa.array(rares, pa.list_(pa.int32()))],
+            ["doc_id", "row_key", "hashes", "words", "places", "other", "other_key", "rare"])
 
 
-def _choose(rare: int, common: int, min_words: int):
+def _choose(common: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = [sorted(deletions(s, rare, common, min_words))
-                    for s in batch.column("shared").to_pylist()]
+            gone = []
+            for r in batch.select(["hashes", "words", "places", "rare", "earlier"]).to_pylist():
+                places = _unpack(r["places"], "<i4")
+                gone.append([places[i] for i in deletions(
+                    _unpack(r["hashes"], "<u8"), _unpack(r["earlier"], "<u8"),
+                    _unpack(r["words"], "<i4"), set(r["rare"]), common, min_words)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row_key"), pa.array(gone, pa.list_(pa.int32()))],
                 ["doc_id", "row_key", "gone"])
@@ -118,21 +212,27 @@ def overlaps(docs: DataFrame, rare: int = RARE, common: int = COMMON,
     """`doc_id`, `row_key`, `gone`: the places (from 0) of the lines to delete."""
     texts = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long"), text_key().alias("row_key"), "text")
-    lines = stored(texts.mapInArrow(
-        _lines, "doc_id long, row_key long, line long, at int, place int, words int"), "lines")
-    # a row that repeats has the same lines at the same places
+    # a row that repeats has the same lines
+    lists = stored(texts.mapInArrow(_line_lists, _LISTS).dropDuplicates(["doc_id", "row_key"]), "line-lists")
+    found = stored(lists.mapInArrow(_keys(common), _KEYS), "line-keys")
     # written, so that both sides of the join are plain exchanges, which Spark splits if skewed
-    first = stored(lines.groupBy("line").agg(
-        F.min(F.struct("doc_id", "row_key", "at")).alias("first"),
+    first = stored(found.groupBy("key").agg(
+        F.min(F.struct("doc_id", "row_key")).alias("first"),
         F.max("doc_id").alias("latest"), F.count(F.lit(1)).alias("n_docs"),
-    ).filter("latest > first.doc_id"), "line-owners")
-    shared = lines.join(first, "line").filter("doc_id > first.doc_id")
-    grouped = shared.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct(  # one document's lines
-        F.col("first.doc_id").alias("other"), F.col("first.row_key").alias("other_key"), "at",
-        F.col("first.at").alias("at_other"), "place", "words", "n_docs")).alias("shared"))
-    return grouped.mapInArrow(
-        _choose(rare, common, min_words), "doc_id long, row_key long, gone array<int>"
-    ).filter(F.size("gone") > 0)
+    ).filter("latest > first.doc_id").select(
+        "key", F.col("first.doc_id").alias("other"), F.col("first.row_key").alias("other_key"),
+        (F.col("n_docs") <= rare).alias("rare")), "line-owners")
+    links = found.join(first, "key").filter("doc_id > other").groupBy("doc_id", "row_key").agg(
+        F.collect_set(F.struct("other", "other_key", "at", "run", "rare")).alias("found"))
+    pairs = links.join(lists, ["doc_id", "row_key"]).mapInArrow(
+        _candidates, _LISTS + ", other long, other_key long, rare array<int>")
+    earlier = lists.select(F.col("doc_id").alias("other"), F.col("row_key").alias("other_key"),
+                         F.col("hashes").alias("earlier"))
+    gone = pairs.join(earlier, ["other", "other_key"]).select(
+        "doc_id", "row_key", "hashes", "words", "places", "rare", "earlier").mapInArrow(
+        _choose(common, min_words), "doc_id long, row_key long, gone array<int>").filter(F.size("gone") > 0)
+    return gone.groupBy("doc_id", "row_key").agg(
+        F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
 def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +255,7 @@ def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def line_dedup(docs: DataFrame, rare: int = RARE, common: int = COMMON,
                min_words: int = MIN_WORDS) -> DataFrame:
-    """`docs` with `text` less the blocks that an earlier document has, and `n_lines` (before)
+    """`docs` with `text` less the blocks that an earlier partner has, and `n_lines` (before)
     and `n_removed`; columns of these names are replaced.
 
     Earlier is the smaller doc_id. Null texts stay null; rows with doc_id null keep their text

@@ -250,3 +250,14 @@ def test_line_dedup(spark):
     assert by_id[4].text == "own text four" and by_id[11].text == "ok\nmore"
     assert all(by_id[100 + i].n_removed == 0 for i in range(30))
     assert lines.line_dedup(docs.limit(0)).count() == 0
+
+
+def test_copies_holding_lines_of_other_documents_end_empty(spark):
+    block = [f"text {i} of the copied document here" for i in range(3)]
+    whole = "\n".join(["ok", block[0], "our slogan", block[1], "ok", block[2], "again a refrain"])
+    rows = [(i, f"own words of {i} stand here\nour slogan\nown end of {i}") for i in range(25)]
+    rows += [(i, f"own words of {i} stand here\nagain a refrain\nok\nown end of {i}") for i in range(25, 50)]
+    rows += [(60, whole), (61, whole), (62, whole.replace(block[2], "a line of its own"))]
+    by_id = {r.doc_id: r for r in lines.line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(by_id[i].n_removed == 0 for i in (*range(50), 60))
+    assert by_id[61].text == ""
