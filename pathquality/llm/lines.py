@@ -9,8 +9,11 @@ as in patience diff, lines unique in both are anchors, the longest run of anchor
 both is the alignment, and equal lines next to aligned ones join it. Aligned lines that are
 neighbours in both documents form a block.
 
-A block with a line that at most RARE documents have is an overlap of the two documents and goes;
-a block of frequent lines alone goes only if it is a passage, that is has at least COMMON words.
+Two documents are partners if a block is a passage, that is has at least COMMON words; if a block
+of at least MIN_WORDS words has a line that at most RARE documents have; or if the alignment holds
+LARGE of the words of the later document. All blocks of partners are deleted from the later one
+(those under MIN_WORDS words only in the last case). So a copy goes however many copies there are,
+and a slogan that many documents end with stays where the documents share nothing else.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from .common import signed, stored, strings, text_key
 RARE = 20
 COMMON = 20
 MIN_WORDS = 3  # of a block with a rare line
+LARGE = 0.8    # share of the later document's words
 
 
 def line_list(text: bytes) -> list[tuple[int, int, int]]:
@@ -113,7 +117,7 @@ def align(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
 
 
 def deletions(later: list[int], earlier: list[int], words: list[int], rare: set[int],
-              common: int = COMMON, min_words: int = MIN_WORDS) -> list[int]:
+              common: int = COMMON, min_words: int = MIN_WORDS, large: float = LARGE) -> list[int]:
     """Numbers of the lines to delete from the later of two documents, given the hashes of their
     lines. `words` and `rare` (numbers of the lines that few documents have) are the later's."""
     blocks: list[list[int]] = []
@@ -124,8 +128,11 @@ def deletions(later: list[int], earlier: list[int], words: list[int], rare: set[
         blocks[-1].append(i)
         before = (i, j)
     held = [sum(words[i] for i in b) for b in blocks]
-    return [i for b, w in zip(blocks, held, strict=True)
-            if w >= common or w >= min_words and not rare.isdisjoint(b) for i in b]
+    most = bool(blocks) and sum(held) >= large * sum(words)
+    if not most and not any(w >= common or w >= min_words and not rare.isdisjoint(b)
+                            for b, w in zip(blocks, held, strict=True)):
+        return []
+    return [i for b, w in zip(blocks, held, strict=True) if most or w >= min_words for i in b]
 
 
 _LISTS = "doc_id long, row_key long, hashes binary, words binary, places binary"

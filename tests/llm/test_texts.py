@@ -261,3 +261,16 @@ def test_copies_holding_lines_of_other_documents_end_empty(spark):
     by_id = {r.doc_id: r for r in lines.line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all(by_id[i].n_removed == 0 for i in (*range(50), 60))
     assert by_id[61].text == ""
+    assert by_id[62].text == "a line of its own"
+
+
+def test_short_texts_go_however_many_copies_there_are(spark):
+    passage = [f"part {i} of a passage of many" for i in range(4)]
+    rows = [(i, f"{passage[i]}\nalone {i}") for i in range(4)]
+    rows += [(10 + i, f"number {i}\n" + "\n".join(passage) + f"\nend {i}") for i in range(40)]
+    rows += [(100 + i, "short text\ncopied often") for i in range(40)]
+    rows += [(200 + i, "ok") for i in range(40)]
+    by_id = {r.doc_id: r for r in lines.line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert by_id[10].n_removed == by_id[100].n_removed == by_id[200].n_removed == 0
+    assert all(by_id[11 + i].text == f"number {i + 1}\nend {i + 1}" for i in range(39))
+    assert all(by_id[101 + i].text == "" and by_id[201 + i].text == "" for i in range(39))
