@@ -4,9 +4,11 @@ Two fingerprints at distance 3 or less meet at a word within 2 bits of the one a
 the other. So each emits the words of a ball of radius 2 and of one of radius 1, and two
 fingerprints link where balls of the two kinds share a word. Words are shuffled by their
 leading bits: a fingerprint is sent once for every lead that its balls reach, with the flips
-it has left, and the words below the lead are spelled out where they meet. Each task keeps a
-spanning forest of the links it finds (all verified), so a large group of near copies gives
-links in proportion to its members; nothing that connects is left out.
+it has left, and the words below the lead are spelled out where they meet. A lead that more
+than MOST rows reach is replaced by longer ones, STEP bits at a time; a whole word is reached by
+few fingerprints, so this ends. Each task folds the links it finds into a spanning forest block
+by block, so a large group of near copies gives links in proportion to its members; nothing
+that connects is left out.
 
 Which ball flips what is fixed by the pair: with x < y the highest differing bit is 0 in x.
 x flips it and the second highest, y flips the lowest of three. Every link is found so.
@@ -29,6 +31,8 @@ SEED = 42
 SHINGLE = 3
 RADIUS = 3
 PER_GROUP = 20_000
+MOST = 80_000  # rows of a lead that is not made longer
+STEP = 6
 _BLOCK = 1 << 21
 
 
@@ -73,37 +77,70 @@ def _bits(lo: int, hi: int) -> np.ndarray:
     return np.uint64(1) << np.arange(lo, hi, dtype=np.uint64)
 
 
-def _emit(lead: int):
-    """Leads that the two balls of a fingerprint reach: (lead, kind, left, word). `kind` 2 is
-    the wide ball; `left` is how many flips remain below the lead, `word` has the flips made."""
-    shift = np.uint64(64 - lead)
+def _flip(fp: np.ndarray, word: np.ndarray, kind: np.ndarray, old: int, new: int) -> tuple[np.ndarray, ...]:
+    """From rows that have made their flips in the first `old` bits to rows that have made
+    them in the first `new` ones. `kind` is 4 times 2 (the wide ball) or 1, plus the flips left."""
+    high = _bits(64 - new, 64 - old)
+    out = [(fp, word, kind)]
+    two = kind == 10
+    other = (kind == 9) | (kind == 5)
+    any_x, any_word, any_kind = fp[other], word[other], kind[other] - 1
+    x, at = fp[two], word[two]
+    for c, top in enumerate(high):
+        out.append((any_x, any_word ^ top, any_kind))
+        free = (at & top) == 0
+        zero, flipped = x[free], at[free] ^ top
+        out.append((zero, flipped, np.full(len(zero), 9, np.int8)))
+        out += [(zero, flipped ^ second, np.full(len(zero), 8, np.int8)) for second in high[:c]]
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+
+
+_BALLS = "bits int, lead long, kind byte, fp long"
+
+
+def _emit(levels: list[tuple[int, np.ndarray]], last_only: bool = False):
+    """Leads that the two balls of a fingerprint reach: (bits, lead, kind, fp). `levels`: lengths
+    of leads, each with the leads of this length that the next one replaces, in order."""
+
+    def rows(level: int, fp, word, kind, old: int) -> Iterator[pa.RecordBatch]:
+        bits, crowded = levels[level]
+        fp, word, kind = _flip(fp, word, kind, old, bits)
+        lead = word >> np.uint64(64 - bits)
+        more = np.isin(lead, crowded)
+        if not last_only or level == len(levels) - 1:
+            stay = ~more
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(int(stay.sum()), bits, np.int32)), pa.array(signed(lead[stay])),
+                 pa.array(kind[stay]), pa.array(signed(fp[stay]))], ["bits", "lead", "kind", "fp"])
+        fp, word, kind = fp[more], word[more], kind[more]
+        for at in range(0, len(fp), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield from rows(level + 1, fp[part], word[part], kind[part], bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        high = _bits(64 - lead, 64)
-        pair = [(c, b) for c in range(lead) for b in range(c)]
-        top = high[[c for c, _ in pair]]
-        second = high[[b for _, b in pair]]
         for batch in batches:
             fps = batch.column("fp").to_numpy().view(np.uint64)
             for start in range(0, len(fps), 4096):
                 x = fps[start:start + 4096]
-                out = [(x, x, 2, 2), (x, x, 1, 1)]
-                for bit in high:
-                    zero = x[(x & bit) == 0]
-                    out.append((zero, zero ^ bit, 2, 1))
-                    out.append((x, x ^ bit, 1, 0))
-                for c, b in zip(top, second, strict=True):
-                    zero = x[(x & c) == 0]
-                    out.append((zero, zero ^ c ^ b, 2, 0))
-                fp = np.concatenate([o[0] for o in out])
-                word = np.concatenate([o[1] for o in out])
-                kind = np.concatenate([np.full(len(o[0]), o[2] * 4 + o[3], np.int8) for o in out])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((word >> shift).astype(np.int32)), pa.array(kind), pa.array(signed(fp))],
-                    ["lead", "kind", "fp"])
+                kind = np.repeat(np.array([10, 5], np.int8), len(x))
+                yield from rows(0, np.tile(x, 2), np.tile(x, 2), kind, 0)
     return run
 
 
+def balls(distinct: DataFrame, lead: int, most: int = MOST) -> DataFrame:
+    """`bits`, `lead`, `kind`, `fp`: at most `most` rows a lead, unless it is a whole word."""
+    levels = [(lead, np.empty(0, dtype=np.uint64))]
+    while levels[-1][0] < 64:
+        bits = levels[-1][0]
+        crowded = distinct.mapInArrow(_emit(levels, True), _BALLS).groupBy("lead").count().filter(
+            F.col("count") > most).select("lead").collect()  # one for every `most` rows
+        if not crowded:
+            break
+        levels[-1] = bits, np.sort(np.array([r.lead for r in crowded], dtype=np.int64).view(np.uint64))
+        levels.append((min(64, bits + STEP), np.empty(0, dtype=np.uint64)))
+    return distinct.mapInArrow(_emit(levels), _BALLS)
+
+
 def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Those of the given links that first connect two trees."""
     nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
@@ -122,15 +159,14 @@ def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return u[kept], v[kept]
 
 
-def _meet(lead: int):
-    low = _bits(0, 64 - lead)
-    n_low = 64 - lead
-    c_at, b_at = np.tril_indices(n_low, -1)
-    pair_mask, pair_top = low[c_at] ^ low[b_at], low[c_at]
-    below = np.uint64((1 << n_low) - 1)
-
-    def links(fp: np.ndarray, kind: np.ndarray, group: int) -> tuple[np.ndarray, np.ndarray]:
-        prefix = np.uint64(group << n_low)
+def _meet():
+    def links(fp: np.ndarray, kind: np.ndarray, lead: int, group: int) -> tuple[np.ndarray, np.ndarray]:
+        n_low = 64 - lead
+        low = _bits(0, n_low)
+        c_at, b_at = np.tril_indices(n_low, -1)
+        pair_mask, pair_top = low[c_at] ^ low[b_at], low[c_at]
+        below = np.uint64((1 << n_low) - 1)
+        prefix = np.uint64(group << n_low & 2**64 - 1)
         narrow = fp[kind >> 2 == 1]
         left = kind[kind >> 2 == 1] & 3
         own = narrow & below | prefix
@@ -147,7 +183,23 @@ def _meet(lead: int):
         unique, y_of = words[first], ys[first]
         hit_by = np.zeros(len(unique), dtype=np.uint64)
         hit = np.zeros(len(unique), dtype=bool)
-        us, vs = [], []
+        us, vs, held = [], [], 0
+
+        def add(u: np.ndarray, v: np.ndarray) -> None:
+            nonlocal held
+            apart = (u != v) & (np.bitwise_count(u ^ v) <= RADIUS)
+            us.append(u[apart])
+            vs.append(v[apart])
+            held += len(us[-1])
+            if held > _BLOCK:
+                fold()
+                held = 0
+
+        def fold() -> None:
+            u, v = np.concatenate(us), np.concatenate(vs)
+            both = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
+            u, v = _forest(both[:, 0], both[:, 1])
+            us[:], vs[:] = [u], [v]
 
         def look(x: np.ndarray, word: np.ndarray) -> None:
             at = np.searchsorted(unique, word)
@@ -156,8 +208,7 @@ def _meet(lead: int):
             if same.size:
                 x, at = x[same], at[same]
                 hit[at], hit_by[at] = True, x
-                us.append(x)
-                vs.append(y_of[at])
+                add(x, y_of[at])
 
         for flips in (0, 1, 2):
             x = fp[kind == 8 + flips]
@@ -180,17 +231,9 @@ def _meet(lead: int):
         # all that meet at a word that a wide ball holds are linked to that ball's owner
         run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(words))))
         more = hit[run]
-        us.append(hit_by[run[more]])
-        vs.append(ys[more])
-        u, v = np.concatenate(us), np.concatenate(vs)
-        apart = u != v
-        u, v = u[apart], v[apart]
-        near = np.bitwise_count(u ^ v) <= RADIUS
-        u, v = u[near], v[near]
-        if not len(u):
-            return u, v
-        both = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
-        return _forest(both[:, 0], both[:, 1])
+        add(hit_by[run[more]], ys[more])
+        fold()
+        return us[0], vs[0]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         fp = table.column("fp").to_numpy().view(np.uint64)
@@ -198,7 +241,7 @@ def _meet(lead: int):
         if len(np.unique(fp)) < 2 or not (kind >> 2 == 1).any() or not (kind >> 2 == 2).any():
             u = v = np.empty(0, dtype=np.uint64)
         else:
-            u, v = links(fp, kind, key[0].as_py())
+            u, v = links(fp, kind, key[0].as_py(), key[1].as_py())
         return pa.table({"u": pa.array(signed(u)), "v": pa.array(signed(v))})
 
     return run
@@ -212,15 +255,14 @@ def lead_bits(n: int) -> int:
     return lead
 
 
-def links(fps: DataFrame, lead: int | None = None) -> DataFrame:
+def links(fps: DataFrame, lead: int | None = None, most: int = MOST) -> DataFrame:
     """`u`, `v`: links between distinct fingerprints (`fp`) at distance 3 or less, as many as
     connect whatever the links connect."""
-    distinct = fps.select("fp").distinct()
+    distinct = stored(fps.select("fp").distinct(), "simhash-fingerprints")
     if lead is None:
         lead = lead_bits(distinct.count())
-    spread = distinct.repartition(partitions(fps.sparkSession))
-    balls = spread.mapInArrow(_emit(lead), "lead int, kind byte, fp long")
-    return balls.groupBy("lead").applyInArrow(_meet(lead), "u long, v long")
+    met = balls(distinct.repartition(partitions(fps.sparkSession)), lead, most)
+    return met.groupBy("bits", "lead").applyInArrow(_meet(), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, lead: int | None = None) -> DataFrame:

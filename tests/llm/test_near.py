@@ -72,6 +72,44 @@ def test_links_connect_all_within_three_bits(spark, lead):
         f: min(g for g in signed if want[g] == want[f]) for f in signed}
 
 
+def test_a_large_family_is_split_and_stays_connected(spark):
+    rng = random.Random(12)
+    base = rng.getrandbits(64)
+    fps = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(6))) for _ in range(300)}
+    fps |= {base ^ 1 << b for b in range(64)} | {rng.getrandbits(64) for _ in range(20)}
+    fps = sorted(fps)
+    signed = [f - 2**64 if f >= 2**63 else f for f in fps]
+    rows = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(2)
+    sizes = simhash.balls(rows, 6, 150).groupBy("bits", "lead").count().collect()
+    assert max(r["count"] for r in sizes if r.bits < 64) <= 150 and max(r.bits for r in sizes) > 6
+    found = simhash.links(rows, 6, 150).collect()
+    assert all(0 < ((r.u ^ r.v) % 2**64).bit_count() <= 3 for r in found)
+    got = {r.node: r.root for r in components(simhash.links(rows, 6, 150)).collect()}
+    want = roots(fps, signed)
+    assert {f: got.get(f, f) for f in signed} == {
+        f: min(g for g in signed if want[g] == want[f]) for f in signed}
+
+
+def test_whole_words_as_leads(spark):
+    rows = spark.createDataFrame([(f,) for f in (0, 7, 2**20, -1, -4, -2**63)], "fp long")
+    got = {r.node: r.root for r in components(simhash.links(rows, 4, 0)).collect()}
+    assert got == {0: -2**63, 7: -2**63, 2**20: -2**63, -2**63: -2**63, -1: -4, -4: -4}
+
+
+def test_hits_are_folded_block_by_block(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "_BLOCK", 64)
+    sizes = []
+    forest = simhash._forest
+    monkeypatch.setattr(simhash, "_forest", lambda u, v: sizes.append(len(u)) or forest(u, v))
+    fps = np.array([1 << i | 1 << j for i in range(16) for j in range(i)], dtype=np.int64)
+    emitted = pa.Table.from_batches(simhash._emit([(4, np.empty(0, np.uint64))])(
+        [pa.RecordBatch.from_arrays([pa.array(fps)], ["fp"])])).filter(pa.compute.field("lead") == 0)
+    links = simhash._meet()((pa.scalar(4), pa.scalar(0)), emitted)
+    assert links.num_rows == len(fps) - 1 and len(sizes) > 2 and max(sizes) < 16 * len(fps)
+
+
 def test_near_duplicates_of_edge_cases(spark):
     words = [f"w{i}" for i in range(400)]
     near = [*words[:200], "changed", *words[201:]]
