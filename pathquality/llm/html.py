@@ -39,6 +39,7 @@ script style noscript template svg math iframe object canvas audio video select
 textarea input embed area source track
 """.split())  # what stands within a line of text and does not end it
 RAW = frozenset("script style noscript template iframe textarea title svg math".split())
+FOREIGN = frozenset(("svg", "math"))
 CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -106,6 +107,27 @@ def _within(around: frozenset[str], tag: str, meaning: frozenset[str]) -> frozen
     return around if own <= around else around | own
 
 
+def _after(page: str, tag: str, at: int) -> int:
+    """Where the page goes on after the raw element whose start tag ends at `at`. Foreign
+    elements nest, the others end at their first end tag."""
+    if tag not in FOREIGN:
+        close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+        return close.end() if close else len(page)
+    depth = 1
+    while depth:
+        less = page.find("<", at)
+        if less < 0:
+            return len(page)
+        found = _TAG.match(page, less)
+        at = found.end() if found else less + 1
+        if found is None:
+            continue
+        slash, name, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+        if name and name.lower() == tag:
+            depth += -1 if slash else not attributes.endswith("/")
+    return at
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks with text, in page order."""
     out: list[Block] = []
@@ -180,11 +202,10 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] in SCOPES:
                     break
-        if tag in VOID or attributes.endswith("/") and tag not in RAW and tag not in INLINE:
+        if tag in VOID or attributes.endswith("/") and tag not in RAW - FOREIGN and tag not in INLINE:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            at = _after(page, tag, at)
             continue
         meaning = memo.get(attributes)
         if meaning is None:

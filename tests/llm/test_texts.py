@@ -90,6 +90,10 @@ def test_held_out_pages(field):
     ("<p>Only paragraph here, no container.</p><p>And another one.</p>",
      "Only paragraph here, no container.\nAnd another one."),
     ("<article><p><b>one\n two<br><p>Is.</p></article><footer>&copy; x", "one two\nIs."),
+    ("<article><p>one <svg class=i /> two</p><p>Three <math/> is.</p></article>", "one two\nThree is."),
+    ("<article><p>one <SVG a='/>'><svg><g/><svg/></svg><title>x</title></Svg> two</p><p>Is.</p></article>",
+     "one two\nIs."),
+    ("<article><p>one <svg/> two <svg><!-- </svg> --><path d='1'/></svg> three.</p></article>", "one two three."),
     ("", ""), ("   ", ""), (None, ""), ("<script>x</script><style>y</style>", ""),
 ])
 def test_main_text(field, page, text):
