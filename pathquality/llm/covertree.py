@@ -8,7 +8,7 @@ below the worst k-th score that the node's queries have already.
 
 The top of the data tree is spread by Spark: centres are taken from a bounded sample, every row
 goes to its nearest centre, and a cell with more rows than a task should hold is dealt into
-parts. Each query first searches the cell it lies in, which gives it a k-th score; cells whose
+parts, and its queries into blocks: a task holds one part and one block. Each query first searches the cell it lies in, which gives it a k-th score; cells whose
 bound is below that are then left out, the others are searched by their own tree against the
 queries that remain, indexed together.
 """
@@ -31,6 +31,7 @@ CENTRES = 64          # top-level cells, at most
 PER_CELL = 500        # rows for which another cell is worth its tree
 SAMPLE = 4096         # rows that the centres are chosen from, at most about
 PER_PART = 20_000     # rows of one cell in one task
+PER_BLOCK = 20_000    # queries in one task
 LEAF = 512            # rows below which a node is compared as a block, and queries
 QUERY_LEAF = 128
 
@@ -237,8 +238,23 @@ def _topped(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def dealt(asked: DataFrame, data: DataFrame, per_block: int) -> tuple[DataFrame, DataFrame]:
+    """Both with `block`: the queries of a cell are dealt into blocks of about `per_block`, every
+    part of the cell is copied for each. Cells that no query asks for are left out."""
+    counts = asked.filter("part = 0").groupBy("dim", "cell").count().collect()  # per centre
+    if not counts:
+        none = F.lit(0).alias("block")
+        return asked.select("*", none), data.select("*", none).limit(0)
+    blocks = F.create_map(*[x for r in counts for x in (
+        F.lit(f"{r['dim']}:{r['cell']}"), F.lit(-(-r["count"] // per_block)))])
+    n_blocks = F.try_element_at(blocks, F.concat_ws(":", "dim", "cell"))
+    return (asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit("block")), n_blocks).cast("int")),
+            data.withColumn("n_blocks", n_blocks).filter("n_blocks is not null").withColumn(
+                "block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).drop("n_blocks"))
+
+
 def top_k(vectors: DataFrame, every: int = 50, k: int = K, n_centres: int = CENTRES,
-          per_part: int = PER_PART) -> DataFrame:
+          per_part: int = PER_PART, per_block: int = PER_BLOCK) -> DataFrame:
     """`query_id`, `rank` (from 1), `vec_id`, `score`: for every row whose vec_id `every`
     divides, the k rows of highest integer inner product, ties to the smaller vec_id.
 
@@ -272,10 +288,11 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, n_centres: int = CENT
     queries = placed.filter(F.col("vec_id") % every == 0)
     home = queries.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1))).withColumn(
         "floor", F.lit(_LEAST)).drop("away")
-    keys = ("dim", "cell", "part")
+    keys = ("dim", "cell", "part", "block")
 
     def searched(asked: DataFrame, name: str) -> DataFrame:
-        return stored(asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInArrow(
+        asked, held = dealt(asked, data, per_block)
+        return stored(asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(
             _search(k), _RESULT_DDL), name)
 
     near = searched(home, "top-near")

@@ -41,6 +41,19 @@ def test_top_k_against_brute_force(spark, centres, per_part):
     assert sorted(map(tuple, got)) == brute(rows, 50, 5)
 
 
+def test_queries_of_a_cell_are_dealt_into_blocks(spark):
+    rows = spark.range(600).selectExpr("id as vec_id", "4 as dim", "int(id % 2) as cell", "int(id % 3) as part")
+    asked = rows.filter("cell = 0").drop("part").crossJoin(spark.range(3).selectExpr("int(id) as part"))
+    queries, held = covertree.dealt(asked, rows, 20)
+    sizes = queries.groupBy("dim", "cell", "part", "block").count().collect()
+    assert len(sizes) == 3 * 15 and max(r["count"] for r in sizes) < 60 and queries.count() == asked.count()
+    assert held.groupBy("vec_id").count().filter("count <> 15").count() == 0 and held.count() == 300 * 15
+    one = [(i, [1.0, 2.0], 0) for i in range(400)] + [(400 + i, [float(i), 1.0], 0) for i in range(100)]
+    vectors = spark.createDataFrame(one, SCHEMA)
+    want = sorted(map(tuple, covertree.top_k(vectors, 5, 3, 4, 50).collect()))
+    assert sorted(map(tuple, covertree.top_k(vectors, 5, 3, 4, 50, 7).collect())) == want and len(want) == 300
+
+
 def test_top_k_of_nothing_and_of_one(spark):
     assert covertree.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
     assert covertree.top_k(spark.createDataFrame([(0, [1.0], 1)], SCHEMA)).count() == 0
