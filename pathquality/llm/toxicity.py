@@ -9,7 +9,7 @@
    information), so that voters that copy each other do not count twice. The labels of the
    training rows are one more voter whose accuracy is estimated.
 3. A linear classifier of lexicon entries and votes is trained on the model's posterior labels
-   of the sampled rows, and of rows without labels that some voter speaks for.
+   of the sampled labelled rows. Rows without labels reach the label model only.
 """
 
 from __future__ import annotations
