@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, exact, fst, html, licenses, lines, mixing, simhash, substrings, toxicity
+from . import covertree, exact, fst, html, licenses, lines, mixing, negatives, simhash, substrings, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_html_text": op2_html_text,
@@ -71,10 +75,12 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact.EXACT_SQL.strip(),
     "op8_top_k": covertree.TOP_SQL.strip(),
     "op10_mixing": mixing.MIX_SQL.strip(),
+    "op11_hard_negatives": negatives.NEGATIVES_SQL.strip(),
 }
