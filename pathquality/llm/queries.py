@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, exact, fst, html, licenses, lines, mixing, negatives, simhash, substrings, toxicity
+from . import covertree, exact, fst, html, licenses, lines, mixing, negatives, simhash, substrings, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_html_text": op2_html_text,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_warc": op12_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -83,4 +88,5 @@ ORACLES: dict[str, str] = {
     "op8_top_k": covertree.TOP_SQL.strip(),
     "op10_mixing": mixing.MIX_SQL.strip(),
     "op11_hard_negatives": negatives.NEGATIVES_SQL.strip(),
+    "op12_warc": warc.ARCHIVE_SQL.strip(),
 }
