@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, exact, fst, html, licenses, lines, mixing, negatives, simhash, substrings, toxicity, warc
+from . import (
+    covertree, divergence, exact, fst, html, licenses, lines, mixing, negatives, simhash, substrings, toxicity, warc,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +70,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_html_text": op2_html_text,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_warc": op12_warc,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -89,4 +96,5 @@ ORACLES: dict[str, str] = {
     "op10_mixing": mixing.MIX_SQL.strip(),
     "op11_hard_negatives": negatives.NEGATIVES_SQL.strip(),
     "op12_warc": warc.ARCHIVE_SQL.strip(),
+    "op13_source_divergence": divergence.DIVERGENCE_SQL.strip(),
 }

@@ -89,7 +89,7 @@ def test_registered_once_for_each_operator():
     found = entry.queries()
     assert set(QUERIES) <= set(found) and "pipeline" in found
     assert set(ORACLES) <= set(entry.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_nothing_else_imports_the_package():
