@@ -209,7 +209,6 @@ class Inflated:
                 out, self.waiting = self.waiting, b""
                 return out
             if self.inflate.eof:
-                self.waiting = self.inflate.unused_data + self.waiting
                 self.members += 1
                 if not self.waiting:
                     self.waiting = self.raw.read(PIECE)
@@ -224,7 +223,8 @@ class Inflated:
             if out is None:
                 self.over = True
                 raise Damaged("the archive ends within a member")
-            self.waiting = self.inflate.unconsumed_tail
+            # at its end a member may name what follows it in both
+            self.waiting = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
             if out:
                 return out
         self.over = True

@@ -129,6 +129,10 @@ def test_damage_is_said_and_passed_over():
     broken = bytearray(two)
     broken[len(two) // 2:] = bytes(len(two) - len(two) // 2)
     got = list(warc.records(io.BytesIO(one + bytes(broken) + three)))
+    assert got[0].problem is None and got[1].problem is not None
+    broken = bytearray(two)
+    broken[10] = 7    # a kind of block that deflate does not have
+    got = list(warc.records(io.BytesIO(one + bytes(broken) + three)))
     assert got[0].problem is None and "inflated" in got[1].problem and len(got) == 2
     assert [r.problem for r in warc.records(io.BytesIO(b"no archive"))] == ["a head does not end"]
     assert list(warc.records(io.BytesIO(b""))) == []
