@@ -46,27 +46,30 @@ CLOSES = {  # a start tag that ends an open element of these kinds
 }
 SCOPES = frozenset("ul ol dl table td th div section article main aside nav body".split())
 
-# What class, id and role words tell.
+# What class, id and role words tell. Words are whole: "research" is no search.
 ABOUT = {
-    "nav": ("nav", "menu", "breadcrumb", "pagination", "pager", "toolbar", "sitemap"),
-    "head": ("header", "masthead", "topbar", "logo"),
-    "foot": ("footer", "copyright", "legal", "colophon"),
-    "side": ("sidebar", "side", "widget", "aside", "complementary", "rail"),
-    "notice": ("cookie", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "toast", "banner"),
-    "advert": ("advert", "sponsor", "promo", "affiliate", "adsense", "doubleclick", "outbrain", "taboola"),
-    "form": ("form", "newsletter", "subscri", "signup", "login", "search"),
-    "share": ("share", "social", "follow", "related", "recommend", "trending", "readmore", "teaser"),
-    "comment": ("comment", "reply", "replies", "discuss", "respond", "disqus", "reaction", "feedback"),
-    "content": ("article", "content", "post", "story", "entry", "body", "main", "text", "page", "prose"),
+    "nav": "nav navbar topnav subnav navigation menu menus submenu breadcrumb breadcrumbs pagination pager toolbar sitemap",
+    "head": "header masthead topbar logo",
+    "foot": "footer copyright colophon contentinfo",
+    "side": "sidebar sidebars widget widgets aside complementary rail",
+    "notice": "cookie cookies consent gdpr notice notices alert alerts popup modal overlay toast banner",
+    "advert": "ad ads adv adbox adslot dfp advert adverts advertisement advertising sponsor sponsors sponsored "
+              "promo promos promotion promoted affiliate adsense doubleclick outbrain taboola",
+    "form": "form forms newsletter newsletters subscribe subscription signup login search searchbox",
+    "share": "share sharing social follow related recommended recommendations trending readmore teaser teasers",
+    "comment": "comment comments commentlist reply replies discussion respond disqus reactions feedback",
+    "content": "article content post story entry body main text page prose",
 }
-EXACT = {"ad": "advert", "ads": "advert", "adv": "advert", "adbox": "advert", "adslot": "advert",
-         "dfp": "advert", "contentinfo": "foot", "navigation": "nav"}
+WHOLE = {"side": "side", "legal": "foot"}  # tell only as a class of their own
+TELLS = {word: kind for kind, words in ABOUT.items() for word in words.split()}
+SAYS_WHETHER = frozenset("with without has have no not show hide".split())  # "page-with-sidebar" is no sidebar
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>\"']*(?:\"[^\"]*\"[^<>\"']*|'[^']*'[^<>\"']*)*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_UNQUOTED = re.compile(r"=\s*[^\s\"'=]*/\Z")  # the slash is the end of a value
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -79,11 +82,11 @@ def _meanings(attributes: str) -> frozenset[str]:
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDING.search(value):
             out.add("hidden")
         elif name in ("class", "id", "role"):
-            for word in _SPLIT.split(_CAMEL.sub("-", value).lower()):
-                if word in EXACT:
-                    out.add(EXACT[word])
-                elif word:
-                    out.update(k for k, stems in ABOUT.items() if any(s in word for s in stems))
+            for token in _CAMEL.sub("-", value).lower().split():
+                words = [w for w in _SPLIT.split(token) if w]
+                out.update(TELLS[w] for before, w in zip(["", *words], words, strict=False)
+                           if w in TELLS and before not in SAYS_WHETHER)
+                out.update(WHOLE[w] for w in words if w in WHOLE and len(words) == 1)
     return frozenset(out)
 
 
@@ -100,6 +103,10 @@ def _within(around: frozenset[str], tag: str, meaning: frozenset[str]) -> frozen
     number of members, however deep elements nest."""
     if tag in INLINE or tag in ("html", "body"):
         return around
+    if tag == "main":  # whatever surrounds it is the frame of the page
+        around = frozenset(a for a in around if a == "about hidden" or a == "about content")
+    elif tag == "article":  # some pages lie in a form as a whole
+        around = around - {"under form", "about form"}
     own = {f"about {m}" for m in meaning}
     if tag in ("article", "main"):
         own.add("inner")
@@ -107,15 +114,19 @@ def _within(around: frozenset[str], tag: str, meaning: frozenset[str]) -> frozen
     return around if own <= around else around | own
 
 
-def _after(page: str, tag: str, at: int) -> int:
+def _self_closed(attributes: str) -> bool:
+    return attributes.endswith("/") and not _UNQUOTED.search(attributes)
+
+
+def _after(page: str, tag: str, at: int, end: int) -> int:
     """Where the page goes on after the raw element whose start tag ends at `at`. Foreign
-    elements nest, the others end at their first end tag."""
+    elements nest, the others end at their first end tag. No tag ends beyond `end`."""
     if tag not in FOREIGN:
-        close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+        close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at, end)
         return close.end() if close else len(page)
     depth = 1
     while depth:
-        less = page.find("<", at)
+        less = page.find("<", at, end)
         if less < 0:
             return len(page)
         found = _TAG.match(page, less)
@@ -124,7 +135,7 @@ def _after(page: str, tag: str, at: int) -> int:
             continue
         slash, name, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
         if name and name.lower() == tag:
-            depth += -1 if slash else not attributes.endswith("/")
+            depth += -1 if slash else not _self_closed(attributes)
     return at
 
 
@@ -156,6 +167,7 @@ def blocks(page: str) -> list[Block]:
         paragraphs -= tag == "p"
 
     at, end = 0, len(page)
+    last = page.rfind(">") + 1  # beyond it "<" begins no tag, only a comment
     while at < end:
         less = page.find("<", at)
         if less != at:
@@ -166,7 +178,7 @@ def blocks(page: str) -> list[Block]:
             if less < 0:
                 break
             at = less
-        found = _TAG.match(page, at)
+        found = _TAG.match(page, at) if at < last or page.startswith("<!--", at) else None
         if found is None:
             if not hidden:
                 pieces.append("<")
@@ -202,10 +214,10 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] in SCOPES:
                     break
-        if tag in VOID or attributes.endswith("/") and tag not in RAW - FOREIGN and tag not in INLINE:
+        if tag in VOID or tag not in RAW - FOREIGN | INLINE and _self_closed(attributes):
             continue
         if tag in RAW:
-            at = _after(page, tag, at)
+            at = _after(page, tag, at, last)
             continue
         meaning = memo.get(attributes)
         if meaning is None:

@@ -95,11 +95,39 @@ def test_held_out_pages(field):
      "one two\nIs."),
     ("<article><p>one <svg/> two <svg><!-- </svg> --><path d='1'/></svg> three.</p></article>", "one two three."),
     ("", ""), ("   ", ""), (None, ""), ("<script>x</script><style>y</style>", ""),
+    ("<article><p>One is here.</p><div class=ad data-u=http://x/>Buy it now.</div><p>Two is too.</p></article>",
+     "One is here.\nTwo is too."),
 ])
 def test_main_text(field, page, text):
     assert html.main_text(page, field) == text
 
 
+ARTICLE = "<h1>Title</h1><p>The first paragraph has some words.</p><p>And so has the second one.</p>"
+
+
+@pytest.mark.parametrize("wrap", [
+    '<article class="commentary">{}</article>', '<article class="inside-story">{}</article>',
+    '<article class="post-side">{}</article>', '<div class="considerations content">{}</div>',
+    '<article class="research">{}</article>', '<article class="platform">{}</article>',
+    '<div id="information"><article>{}</article></div>', '<div class="content legal-analysis">{}</div>',
+    '<div class="page-with-sidebar"><article>{}</article></div>', '<div class="layout no-sidebar"><main>{}</main></div>',
+    '<form id="aspnetForm"><article>{}</article></form>', '<form><div class="hasSidebar"><main>{}</main></div></form>',
+])
+def test_names_that_only_look_like_notices(field, wrap):
+    page = '<nav><a href="/">Home</a></nav>' + wrap.format(ARTICLE) + "<footer>&copy; x</footer>"
+    assert html.main_text(page, field) == "Title\nThe first paragraph has some words.\nAnd so has the second one."
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<!", "<a '<b", "</script ", "<svg ", "<"])
+def test_long_broken_markup_is_read_in_linear_time(piece):
+    import time
+
+    start = time.perf_counter()
+    for page in (piece * 200_000, "<script>" + piece * 200_000, "<p>x</p>" + piece * 200_001 + ">"):
+        html.blocks(page)
+    assert time.perf_counter() - start < 20
+
+
 def test_viterbi_is_the_best_of_all_labellings(field):
     from itertools import product
 
