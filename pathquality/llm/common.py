@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +62,23 @@ def text_key(text: str | Column = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+def set_aside(df: DataFrame, *used: str) -> DataFrame:
+    """The columns an operator works with, and all others of the caller in one struct `rest`, so
+    that their names clash with none of the operator's."""
+    others = [F.col(_quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns) if c not in used]
+    return df.select(*used, F.struct(F.lit(0).alias("n"), *others).alias("rest"))
+
+
+def put_back(df: DataFrame, like: DataFrame, *used: str, new: Iterable[str] = ()) -> DataFrame:
+    """The columns of `like` from a table that `set_aside` made of it, then the new ones."""
+    return df.select(*[
+        F.col(c) if c in used else F.col(f"rest.c{i}").alias(c) for i, c in enumerate(like.columns)], *new)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def strings(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of every value; null is the empty text."""
     for value in column.cast(pa.large_binary()):

@@ -3,17 +3,20 @@
 Documents that overlap are found through shared keys, each of which points to the earliest
 document that has it, so there are never all pairs. Keys are every line (and its n-th repetition
 within a document), every run of lines just long enough to be a passage, and the whole of a
-document that is shorter. Of the documents a later one points to, those by a rare line, by a run
-and the one most of its words point to are its candidates. It is aligned with the whole of each:
-as in patience diff, lines unique in both are anchors, the longest run of anchors in the order of
-both is the alignment, and equal lines next to aligned ones join it. Aligned lines that are
-neighbours in both documents form a block.
-
-Two documents are partners if a block is a passage, that is has at least COMMON words; if a block
-of at least MIN_WORDS words has a line that at most RARE documents have; or if the alignment holds
-LARGE of the words of the later document. All blocks of partners are deleted from the later one
-(those under MIN_WORDS words only in the last case). So a copy goes however many copies there are,
-and a slogan that many documents end with stays where the documents share nothing else.
+document that is shorter. Of the documents a later one points to, those by a line that at most
+RARE documents have, by a passage and the one most of its words point to are its candidates. It
+is aligned with the whole of each: as in patience diff, lines unique in both are anchors, the
+longest run of anchors in the order of both is the alignment, and equal lines next to aligned
+ones join it. Aligned lines that are neighbours in both documents form a block.
+
+Two documents are partners if a block is a passage, that is has at least COMMON words, or if the
+alignment holds LARGE of the words of the later document. All blocks of partners are deleted from
+the later one (those under MIN_WORDS words only in the last case). How many documents have a block
+plays no part, so a passage goes however many copies there are, and a slogan that documents end
+with stays where they share nothing else.
+
+A document and the documents it is aligned with travel apart: its lines are sent once for every
+PER_BLOCK partners, and the partners' lines stream past them.
 """
 
 from __future__ import annotations
@@ -28,12 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import signed, stored, strings, text_key
+from .common import partitions, put_back, set_aside, signed, stored, strings, text_key
 
 RARE = 20
-COMMON = 20
-MIN_WORDS = 3  # of a block with a rare line
-LARGE = 0.8    # share of the later document's words
+COMMON = 10
+MIN_WORDS = 3     # of a block of partners
+LARGE = 0.8       # share of the later document's words
+PER_BLOCK = 1000  # partners of a document in one task
 
 
 def line_list(text: bytes) -> list[tuple[int, int, int]]:
@@ -93,46 +97,50 @@ def longest_run(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def align(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
-    """Pairs of line numbers, increasing in both."""
-    at_earlier = {k: j for j, k in enumerate(counted(earlier))}
-    anchors = [(i, at_earlier[k]) for i, k in enumerate(counted(later)) if k in at_earlier]
-    anchors = [anchors[a] for a in longest_run([j for _, j in anchors])]
-    out, low = [], (-1, -1)
-    for n, (i, j) in enumerate(anchors):
-        before = []
-        a, b = i - 1, j - 1
-        while a > low[0] and b > low[1] and later[a] == earlier[b]:
-            before.append((a, b))
-            a, b = a - 1, b - 1
-        out += [*reversed(before), (i, j)]
-        top = anchors[n + 1] if n + 1 < len(anchors) else (len(later), len(earlier))
-        low = (i, j)
-        a, b = i + 1, j + 1
-        while a < top[0] and b < top[1] and later[a] == earlier[b]:
-            out.append((a, b))
-            low = (a, b)
-            a, b = a + 1, b + 1
-    return out
-
-
-def deletions(later: list[int], earlier: list[int], words: list[int], rare: set[int],
-              common: int = COMMON, min_words: int = MIN_WORDS, large: float = LARGE) -> list[int]:
-    """Numbers of the lines to delete from the later of two documents, given the hashes of their
-    lines. `words` and `rare` (numbers of the lines that few documents have) are the later's."""
-    blocks: list[list[int]] = []
-    before = None
-    for i, j in align(later, earlier):
-        if before != (i - 1, j - 1):
-            blocks.append([])
-        blocks[-1].append(i)
-        before = (i, j)
-    held = [sum(words[i] for i in b) for b in blocks]
-    most = bool(blocks) and sum(held) >= large * sum(words)
-    if not most and not any(w >= common or w >= min_words and not rare.isdisjoint(b)
-                            for b, w in zip(blocks, held, strict=True)):
-        return []
-    return [i for b, w in zip(blocks, held, strict=True) if most or w >= min_words for i in b]
+class Later:
+    """A document that others are aligned with, one after the other."""
+
+    def __init__(self, hashes: list[int], words: list[int]) -> None:
+        self.hashes, self.words, self.total = hashes, words, sum(words)
+        self.at = {k: i for i, k in enumerate(counted(hashes))}
+
+    def align(self, earlier: list[int]) -> list[tuple[int, int]]:
+        """Pairs of line numbers, increasing in both. Costs what the earlier document is long."""
+        later = self.hashes
+        anchors = sorted((self.at[k], j) for j, k in enumerate(counted(earlier)) if k in self.at)
+        anchors = [anchors[a] for a in longest_run([j for _, j in anchors])]
+        out, low = [], (-1, -1)
+        for n, (i, j) in enumerate(anchors):
+            before = []
+            a, b = i - 1, j - 1
+            while a > low[0] and b > low[1] and later[a] == earlier[b]:
+                before.append((a, b))
+                a, b = a - 1, b - 1
+            out += [*reversed(before), (i, j)]
+            top = anchors[n + 1] if n + 1 < len(anchors) else (len(later), len(earlier))
+            low = (i, j)
+            a, b = i + 1, j + 1
+            while a < top[0] and b < top[1] and later[a] == earlier[b]:
+                out.append((a, b))
+                low = (a, b)
+                a, b = a + 1, b + 1
+        return out
+
+    def deletions(self, earlier: list[int], common: int = COMMON, min_words: int = MIN_WORDS,
+                  large: float = LARGE) -> list[int]:
+        """Numbers of the lines that go because the earlier document has them."""
+        blocks: list[list[int]] = []
+        before = None
+        for i, j in self.align(earlier):
+            if before != (i - 1, j - 1):
+                blocks.append([])
+            blocks[-1].append(i)
+            before = (i, j)
+        held = [sum(self.words[i] for i in b) for b in blocks]
+        most = bool(blocks) and sum(held) >= large * self.total
+        if not most and max(held, default=0) < common:
+            return []
+        return [i for b, w in zip(blocks, held, strict=True) if most or w >= min_words for i in b]
 
 
 _LISTS = "doc_id long, row_key long, hashes binary, words binary, places binary"
@@ -168,54 +176,81 @@ def _keys(common: int):
     return run
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From the links of a document to the documents it is to be aligned with."""
-    for batch in batches:
-        take, other, other_key, rares = [], [], [], []
-        for row, (found, words) in enumerate(zip(
-                batch.column("found").to_pylist(), batch.column("words").to_pylist(), strict=True)):
-            words = _unpack(words, "<i4")
-            weight: dict[tuple, int] = defaultdict(int)
-            wanted, rare = set(), set()
-            for x in found:
-                to = x["other"], x["other_key"]
-                if x["run"] or x["rare"]:
-                    wanted.add(to)
-                if not x["run"]:
-                    weight[to] += words[x["at"]]
-                    if x["rare"]:
-                        rare.add(x["at"])
-            if weight:
-                wanted.add(min(weight, key=lambda to: (-weight[to], to)))
-            for to in sorted(wanted):
-                take.append(row)
-                other.append(to[0])
-                other_key.append(to[1])
-                rares.append(sorted(rare))
-        at = pa.array(take, pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(at) for c in ("doc_id", "row_key", "hashes", "words", "places")),
-             pa.array(other, pa.int64()), pa.array(other_key, pa.int64()), pa.array(rares, pa.list_(pa.int32()))],
-            ["doc_id", "row_key", "hashes", "words", "places", "other", "other_key", "rare"])
+_STREAM = "doc_id long, row_key long, block int, other long, other_key long, hashes binary, words binary, places binary"
+_NAMES = [c.split()[0] for c in _STREAM.split(", ")]
 
 
-def _choose(common: int, min_words: int):
+def _candidates(common: int, per_block: int):
+    """From the links of a document to the documents it is to be aligned with: a row for each,
+    and for every `per_block` of them a row without `other` that holds the document's lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = []
-            for r in batch.select(["hashes", "words", "places", "rare", "earlier"]).to_pylist():
-                places = _unpack(r["places"], "<i4")
-                gone.append([places[i] for i in deletions(
-                    _unpack(r["hashes"], "<u8"), _unpack(r["earlier"], "<u8"),
-                    _unpack(r["words"], "<i4"), set(r["rare"]), common, min_words)])
+            take, block, other, other_key, n_blocks = [], [], [], [], []
+            for row, (found, words) in enumerate(zip(
+                    batch.column("found").to_pylist(), batch.column("words").to_pylist(), strict=True)):
+                words = _unpack(words, "<i4")
+                weight: dict[tuple, int] = defaultdict(int)
+                wanted = set()
+                for x in found:
+                    to = x["other"], x["other_key"]
+                    if x["run"] or x["rare"] or words[x["at"]] >= common:
+                        wanted.add(to)
+                    if not x["run"]:
+                        weight[to] += words[x["at"]]
+                if weight:
+                    wanted.add(min(weight, key=lambda to: (-weight[to], to)))
+                for n, to in enumerate(sorted(wanted)):
+                    take.append(row)
+                    block.append(n // per_block)
+                    other.append(to[0])
+                    other_key.append(to[1])
+                n_blocks.append(-(-len(wanted) // per_block))
+            at = pa.array(take, pa.int32())
+            none = pa.nulls(len(take), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), pa.array(gone, pa.list_(pa.int32()))],
-                ["doc_id", "row_key", "gone"])
+                [batch.column("doc_id").take(at), batch.column("row_key").take(at), pa.array(block, pa.int32()),
+                 pa.array(other, pa.int64()), pa.array(other_key, pa.int64()), none, none, none], _NAMES)
+            for n in range(max(n_blocks, default=0)):  # a batch for each, so that none grows with partners
+                heads = batch.take(pa.array([row for row, m in enumerate(n_blocks) if m > n], pa.int32()))
+                nobody = pa.nulls(heads.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [heads.column("doc_id"), heads.column("row_key"),
+                     pa.array(np.full(heads.num_rows, n, np.int32)), nobody, nobody,
+                     *(heads.column(c) for c in ("hashes", "words", "places"))], _NAMES)
+    return run
+
+
+def _choose(common: int, min_words: int):
+    """Reads a document's lines, then those of its partners; one row for each block of partners."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, later, places, gone = None, None, [], set()
+
+        def rows(done: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([d for (d, _), _ in done], pa.int64()), pa.array([k for (_, k), _ in done], pa.int64()),
+                 pa.array([g for _, g in done], pa.list_(pa.int32()))], ["doc_id", "row_key", "gone"])
+
+        for batch in batches:
+            done = []
+            columns = [batch.column(c) for c in ("doc_id", "row_key", "other", "hashes", "words", "places")]
+            for i in range(batch.num_rows):
+                doc_id, row_key, other, hashes, words, at = (c[i].as_py() for c in columns)
+                if other is None:
+                    if gone:
+                        done.append((owner, sorted(gone)))
+                    owner, gone = (doc_id, row_key), set()
+                    later, places = Later(_unpack(hashes, "<u8"), _unpack(words, "<i4")), _unpack(at, "<i4")
+                    continue
+                gone.update(places[n] for n in later.deletions(_unpack(hashes, "<u8"), common, min_words))
+            if done:
+                yield rows(done)
+        if gone:
+            yield rows([(owner, sorted(gone))])
     return run
 
 
-def overlaps(docs: DataFrame, rare: int = RARE, common: int = COMMON,
-             min_words: int = MIN_WORDS) -> DataFrame:
+def overlaps(docs: DataFrame, rare: int = RARE, common: int = COMMON, min_words: int = MIN_WORDS,
+             per_block: int = PER_BLOCK) -> DataFrame:
     """`doc_id`, `row_key`, `gone`: the places (from 0) of the lines to delete."""
     texts = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long"), text_key().alias("row_key"), "text")
@@ -231,13 +266,18 @@ def overlaps(docs: DataFrame, rare: int = RARE, common: int = COMMON,
         (F.col("n_docs") <= rare).alias("rare")), "line-owners")
     links = found.join(first, "key").filter("doc_id > other").groupBy("doc_id", "row_key").agg(
         F.collect_set(F.struct("other", "other_key", "at", "run", "rare")).alias("found"))
-    pairs = links.join(lists, ["doc_id", "row_key"]).mapInArrow(
-        _candidates, _LISTS + ", other long, other_key long, rare array<int>")
-    earlier = lists.select(F.col("doc_id").alias("other"), F.col("row_key").alias("other_key"),
-                         F.col("hashes").alias("earlier"))
-    gone = pairs.join(earlier, ["other", "other_key"]).select(
-        "doc_id", "row_key", "hashes", "words", "places", "rare", "earlier").mapInArrow(
-        _choose(common, min_words), "doc_id long, row_key long, gone array<int>").filter(F.size("gone") > 0)
+    asked = stored(links.join(lists, ["doc_id", "row_key"]).mapInArrow(
+        _candidates(common, per_block), _STREAM), "line-pairs")
+    earlier = lists.select(F.col("doc_id").alias("other"), F.col("row_key").alias("other_key"), "hashes")
+    pairs = asked.filter("other is not null").select("doc_id", "row_key", "block", "other", "other_key").join(
+        earlier, ["other", "other_key"])
+    empty = F.lit(None).cast("binary")
+    stream = asked.filter("other is null").unionByName(
+        pairs.withColumns({"words": empty, "places": empty}))
+    block = ("doc_id", "row_key", "block")
+    gone = stream.repartition(partitions(docs.sparkSession), *block).sortWithinPartitions(
+        *block, F.col("other").asc_nulls_first(), "other_key").select(*_NAMES).mapInArrow(
+        _choose(common, min_words), "doc_id long, row_key long, gone array<int>")
     return gone.groupBy("doc_id", "row_key").agg(
         F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
@@ -271,12 +311,11 @@ def line_dedup(docs: DataFrame, rare: int = RARE, common: int = COMMON,
     empty table stays empty.
     """
     docs = docs.drop("n_lines", "n_removed")
-    gone = overlaps(docs, rare, common, min_words).select(
-        F.col("doc_id").alias("__d"), F.col("row_key").alias("__k"), "gone")
-    others = [c for c in docs.columns if c != "text"]
-    schema = docs.select(*others, "text").schema
-    joined = docs.withColumn("__row_key", text_key()).join(
-        gone, (F.col("doc_id") == F.col("__d")) & (F.col("__row_key") == F.col("__k")), "left")
-    rows = joined.select(*others, "text", "gone").mapInArrow(
-        _delete, schema.add("n_lines", "long").add("n_removed", "long"))
-    return rows.select(*docs.columns, "n_lines", "n_removed")
+    held = set_aside(docs, "doc_id", "text").withColumn("row_key", text_key())
+    gone = overlaps(held, rare, common, min_words).select(
+        F.col("doc_id").alias("later"), F.col("row_key").alias("later_key"), "gone")
+    joined = held.join(
+        gone, (F.col("doc_id") == F.col("later")) & (F.col("row_key") == F.col("later_key")), "left")
+    narrow = joined.select("doc_id", "rest", "text", "gone")
+    schema = narrow.drop("gone").schema.add("n_lines", "long").add("n_removed", "long")
+    return put_back(narrow.mapInArrow(_delete, schema), docs, "doc_id", "text", new=("n_lines", "n_removed"))
