@@ -58,7 +58,24 @@ def test_top_k_of_nothing_and_of_one(spark):
     assert covertree.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
     assert covertree.top_k(spark.createDataFrame([(0, [1.0], 1)], SCHEMA)).count() == 0
     two = spark.createDataFrame([(0, [1.0], 1), (0, [1.0], 1), (3, [-1.0], 1)], SCHEMA)
-    assert [tuple(r) for r in covertree.top_k(two).collect()] == [(0, 1, 3, -65536)]
+    assert sorted(map(tuple, covertree.top_k(two).collect())) == [(0, 1, 0, 65536)] * 2 + [(0, 2, 3, -65536)] * 2
+
+
+@pytest.mark.parametrize(("centres", "per_part"), [(4, 10_000), (8, 20)])
+def test_top_k_of_repeated_ids_and_large_components(spark, centres, per_part):
+    rng = np.random.default_rng(centres)
+    rows = [(int(i) % 150, (rng.normal(size=5) * 10.0**float(rng.choice([0, 3, 5, 6]))).tolist()) for i in range(400)]
+    rows += [(i, rows[3][1]) for i in (50, 50, 7)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = [[math.floor(256 * x) for x in v] for _, v in rows]
+    want = []
+    for a, (q, _) in enumerate(rows):
+        if q % 50 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(whole[a], whole[b], strict=True)), i)
+                            for b, (i, _) in enumerate(rows) if b != a)
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
+    assert max(s for *_, s in want) > 2**53
+    assert sorted(map(tuple, covertree.top_k(vectors, 50, 5, centres, per_part).collect())) == sorted(want)
 
 
 def test_nodes_cover_their_points():
