@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, partitions, stored
+from .common import NOT_SPACE, partitions, put_back, set_aside, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -25,9 +25,11 @@ def words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(NOT_SPACE)), F.lit(0)).cast("long")
 
 
-def random_key(doc_id: str = "doc_id", seed: str = "mix") -> Column:
-    """60 uniform bits that a rerun, or another engine, computes alike."""
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+def random_key(doc_id: str = "doc_id", text: str = "text", seed: str = "mix") -> Column:
+    """60 uniform bits that a rerun, or another engine, computes alike. Documents without an id
+    are told apart by their text."""
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(
+        F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")))))
     return F.conv(F.substring(F.md5(name), 1, _KEY_BITS // 4), 16, 10).cast("long")
 
 
@@ -86,8 +88,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epochs: int = MO
     that repeat are ordered among themselves at will, an empty table gives an empty mix.
     Columns of `docs` with the names of the four results are replaced.
     """
-    docs = docs.drop("size", "source_size", "target", "taken", "n_docs")
-    sized = docs.withColumn("size", words())
+    results = ("size", "source_size", "target", "taken")
+    docs = docs.drop(*results)
+    sized = set_aside(docs, "doc_id", "text", "source").withColumn("size", words())
     budget = targets(sized.select("source", "size"), weights, most_epochs)
     ranges = F.ceil(F.sqrt("n_docs"))  # as many ranges as documents in each
     keyed = (
@@ -111,9 +114,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epochs: int = MO
     epochs = F.floor(exact / size)
     rest = exact - epochs * F.col("source_size") - F.col("__start")
     cut = F.greatest(F.lit(0), F.least(rest, F.col("size")))
-    return placed.withColumn("__start", start).withColumn(
-        "taken", (epochs * F.col("size") + cut).cast("long")
-    ).select(*docs.columns, "size", "source_size", "target", "taken")
+    taken = placed.withColumn("__start", start).withColumn(
+        "taken", (epochs * F.col("size") + cut).cast("long"))
+    return put_back(taken, docs, "doc_id", "text", "source", new=results)
 
 
 def repeated(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -139,7 +142,7 @@ with sized as (
     select doc_id, source,
            case when text is null then 0
                 else len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) end::bigint as size,
-           ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as key
+           ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, md5(coalesce(text, '')))), 1, 15))::bigint as key
     from documents
 ), by_source as (
     select source, sum(size)::bigint as source_size,

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, signed, stored, strings
+from .common import partitions, put_back, set_aside, signed, stored, strings, text_key
 from .components import components
 
 SEED = 42
@@ -61,13 +61,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         found = np.array([simhash(t) for t in strings(batch.column("text"))], dtype=np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(signed(found))], ["doc_id", "fp"])
+            [batch.column("doc_id"), batch.column("row_key"), pa.array(signed(found))],
+            ["doc_id", "row_key", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `fp` (the 64 bits as a signed long). A text without words has 0, as null has."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _fingerprints, "doc_id long, fp long")
+    """`doc_id`, `row_key`, `fp` (the 64 bits as a signed long). A text without words has 0, as
+    null has."""
+    return docs.select(F.col("doc_id").cast("long"), text_key().alias("row_key"), "text").mapInArrow(
+        _fingerprints, "doc_id long, row_key long, fp long")
 
 
 # Balls ------------------------------------------------------------------------------------
@@ -265,6 +267,13 @@ def links(fps: DataFrame, lead: int | None = None, most: int = MOST) -> DataFram
     return met.groupBy("bits", "lead").applyInArrow(_meet(), "u long, v long")
 
 
+def _rooted(classes: DataFrame, lead: int | None) -> DataFrame:
+    """`classes`, one row per fingerprint (`fp`), with `root`: which component it is in."""
+    roots = components(links(classes, lead))
+    return classes.join(roots, classes.fp == roots.node, "left").withColumn(
+        "root", F.coalesce("root", "fp")).drop("node")
+
+
 def near_duplicates(docs: DataFrame, lead: int | None = None) -> DataFrame:
     """One row per document: `doc_id`, `fingerprint` (16 hex digits), `component_id`: the
     smallest doc_id that links reach from it, itself included.
@@ -274,11 +283,25 @@ def near_duplicates(docs: DataFrame, lead: int | None = None) -> DataFrame:
     than all. An empty table gives no rows; other columns of `docs` are not read.
     """
     rows = stored(fingerprints(docs), "simhash-rows")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(classes, lead))
-    joined = classes.join(roots, classes.fp == roots.node, "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    ids = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = stored(joined.select("fp", "root").join(ids, "root").drop("root"), "simhash-classes")
+    classes = _rooted(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), lead)
+    ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    of_class = stored(classes.select("fp", "root").join(ids, "root").drop("root"), "simhash-classes")
     return rows.join(of_class, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, lead: int | None = None) -> DataFrame:
+    """`docs` with one row of every component: the smallest doc_id, null being larger than all.
+
+    Rows are told apart by doc_id and text, so of rows that share a doc_id only the one with the
+    smaller key stays, if they are in one component, and each stays where they are in several.
+    Repeated rows leave one. An empty table stays empty; no column name clashes.
+    """
+    rows = stored(fingerprints(docs), "simhash-rows")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))
+    first = rows.groupBy("fp").agg(least.alias("first"))  # before the join, so that no class is hot
+    kept = _rooted(first, lead).groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.row_key").alias("kept_key"))
+    held = set_aside(docs, "doc_id", "text").withColumn("row_key", text_key())
+    left = held.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key")))
+    return put_back(left.dropDuplicates(["doc_id", "row_key"]), docs, "doc_id", "text")

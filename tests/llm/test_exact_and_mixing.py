@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pathquality.llm import exact, mixing
 
@@ -123,3 +124,18 @@ def test_repeated_holds_what_is_taken(spark):
 def test_mixing_runs_no_python(spark):
     plan = mixing.mix(some(spark, [(1, "a", "b")]))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_documents_without_id_are_mixed_like_others(spark, duck):
+    rows = [(None, f"{'word ' * (i % 7)}number {i}", f"s{i % 2}") for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", source string")
+    assert docs.select(mixing.random_key()).distinct().count() == 400
+    names = ("size_", "n_docs", "weight", "rest", "__key")
+    wide = docs.select("*", *[F.length("text").alias(n) for n in names])
+    got = mixing.mix(wide)
+    assert got.columns == [*wide.columns, "size", "source_size", "target", "taken"]
+    assert got.filter("n_docs <> length(text) or `__key` <> length(text)").count() == 0
+    duck.register("mixed_docs", docs.toPandas().astype({"doc_id": "Int64"}))
+    sql = mixing.MIX_SQL.replace("from documents", "from mixed_docs")
+    want = duck.execute(f"select size, source_size, target, taken from ({sql})").fetchall()
+    assert sorted(map(tuple, got.select("size", "source_size", "target", "taken").collect())) == sorted(want)

@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -143,3 +144,24 @@ def test_pipeline_of_an_empty_table(spark, small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, small)
         assert docs.count() == 0
+
+
+def test_pipeline_and_clashing_columns(spark, small):
+    names = ("gone", "__d", "__row_key", "row_key", "rest", "n_lines", "n_removed", "size", "target", "taken",
+             "source_size", "n_docs", "weight", "__copy", "kept_id", "fp", "root", "c0")
+    docs = spark.read.parquet(f"{small}/documents.parquet").filter("doc_id < 40")
+    docs = docs.select("*", *[F.concat(F.lit(f"{n}:"), "doc_id").alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
+
+
+def test_one_row_of_a_component_stays(spark, small):
+    a, b = "first words of one text", "other things stand in this one"
+    rows = [(1, b), (2, a), (2, b), (2, b), (None, a), (None, "third text with words of its own"), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()
+    assert sorted(map(tuple, left), key=repr) == [(1, b), (2, a), (None, rows[5][1])]
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), small).count() == 0
