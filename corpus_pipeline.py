@@ -2,12 +2,12 @@
 
 toxicity           documents that the classifier rejects go
 line dedup         blocks of lines that an earlier document has are cut from the later one
-simhash dedup      one document of each group of near duplicates stays, the smallest doc_id
+simhash dedup      one row of each group of near duplicates stays, the smallest doc_id
 mixing             sources are brought to their target weights, documents repeated or left out
 sentencepiece      texts become token ids
 
 Every stage works on all rows the one before kept, and all but the last return the columns of
-`documents`. Each result is written below the shared folder and read again.
+`documents`, whatever others the caller added and however these are named. Each result is written below the shared folder and read again.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathquality.llm import fst, lines, mixing, simhash, toxicity
-from pathquality.llm.common import ready, stored, table, text_key
+from pathquality.llm.common import put_back, ready, set_aside, stored, table
 from pathquality.llm.queries import PIECES
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,28 +29,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def used(docs: DataFrame, *names: str) -> list[str]:
+    return [c for c in docs.columns if c in names]
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
-    columns = docs.columns
-    out = lines.line_dedup(docs)
-    if "n_chars" in columns:
+    own = used(docs, "doc_id", "text", "n_chars")
+    out = lines.line_dedup(set_aside(docs, *own))
+    if "n_chars" in own:
         left = F.coalesce(F.length("text").cast("long"), F.lit(0))
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, left).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    return put_back(out, docs, *own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document whose id is its component's stays; of rows that repeat it, one."""
     ready(spark)
-    keep = simhash.near_duplicates(docs).filter("doc_id <=> component_id").select(
-        F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.withColumn("__row_key", text_key()).join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")))
-    return kept.dropDuplicates(["doc_id", "__row_key"]).select(*docs.columns)
+    return simhash.without_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
-    return mixing.repeated(mixing.mix(docs), docs.columns)
+    own = used(docs, "doc_id", "text", "source", "n_chars")
+    held = set_aside(docs, *own)
+    return put_back(mixing.repeated(mixing.mix(held), held.columns), docs, *own)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
