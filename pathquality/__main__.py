@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: load-inventory, ingest, ingest-faults, stitch, restitch, maintain."""
+"""Jobs for spark-submit: load-inventory, ingest, ingest-faults, stitch, restitch, alert, maintain."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from .session import configure, shared_folder
 from .sources import inventory
 from .sources.files import join
 from .sources.store import Store, batch_name
+from .streaming.alerting import Alerting, live_results
 from .streaming.ingest import (
     FAULT_TOPIC,
     FLOW_TOPIC,
@@ -36,6 +37,7 @@ MERGES = {
     "sessions": lambda rows: rows.repartitionByRange("branch_id", "session_start"),
     "quality_1m": merge_quality,
     "element_1m": merge_element,
+    "alerts": lambda rows: rows.coalesce(1),
 }
 
 
@@ -58,6 +60,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     again = sub.add_parser("restitch", help="fill missing sessions of a past range")
     again.add_argument("--since", type=datetime.fromisoformat, required=True)
     again.add_argument("--until", type=datetime.fromisoformat, required=True)
+    alert = sub.add_parser("alert", help="evaluate the alert rules until stopped")
+    alert.add_argument("--once", action="store_true", help="evaluate them now and stop")
     sub.add_parser("maintain", help="compact yesterday's tables and drop expired days")
     return parser.parse_args(argv)
 
@@ -88,6 +92,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         every = None if args.once else "8 seconds"
         return start_ingest(store, messages, checkpoint, every, handle).awaitTermination()
     worker = Stitcher(store, lookups)
+    if args.job == "alert":
+        worker = Alerting(store, live_results(store, lookups))
+        if args.once:
+            return worker.tick(utc_now())
     if args.job == "restitch":
         return worker.restitch(naive_utc(args.since), naive_utc(args.until), utc_now())
     if args.job == "maintain":

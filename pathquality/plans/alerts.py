@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -121,6 +122,54 @@ def breaches(result: DataFrame, rule: Rule) -> DataFrame:
     return result.withColumn("breach", F.coalesce(over, F.lit(rule.no_data == "alerting")))
 
 
+def evaluations(results: dict[str, DataFrame], rules: dict[str, Rule] = RULES) -> DataFrame:
+    """All results as one table: rule, labels (JSON), severity, hold_s, value, breach. Of rows
+    that share their labels the worst counts."""
+
+    def rows(rule: Rule) -> DataFrame:
+        found = breaches(results[rule.name], rule)
+        labels = [c for c in results[rule.name].columns if c != rule.value]
+        value = F.col(rule.value).cast("double").alias("value")
+        return found.select(
+            F.lit(rule.name).alias("rule"),
+            (F.to_json(F.struct(*labels)) if labels else F.lit("{}")).alias("labels"),
+            F.lit(rule.severity).alias("severity"), F.lit(rule.hold_s).alias("hold_s"),
+            value if rule.above is not None else (-value).alias("value"), "breach")
+
+    every = reduce(DataFrame.unionByName, [rows(rules[name]) for name in results])
+    below = [name for name in results if rules[name].below is not None]
+    worst = F.max("value")
+    return every.groupBy("rule", "labels", "severity", "hold_s").agg(
+        F.when(F.col("rule").isin(below), -worst).otherwise(worst).alias("value"),
+        F.bool_or("breach").alias("breach"))
+
+
+def advance(current: DataFrame, before: DataFrame, at: datetime, gap_s: int) -> DataFrame:
+    """One tick: rule, labels, severity, value, state, previous, since, evaluated_at of every
+    label set that is not normal at `at`, or was not at the tick before.
+
+    `current`: rows as `evaluations` gives; `before`: what the last tick left that was not
+    normal. A breach goes on from where it stands unless the last tick is more than `gap_s`
+    ago; a label set no longer evaluated is normal.
+    """
+    now = instant(at)
+    old = before.select(
+        "rule", "labels", F.col("severity").alias("_severity"), F.col("state").alias("_state"),
+        F.col("since").alias("_since"), F.col("evaluated_at").alias("_at"))
+    breach = F.coalesce("breach", F.lit(False))
+    carried = F.unix_seconds(now) - F.unix_seconds("_at") <= gap_s
+    since = F.when(breach, F.when(carried, F.col("_since")).otherwise(now))
+    held = F.unix_seconds(now) - F.unix_seconds("since")
+    state = F.when(F.col("since").isNull(), "normal").when(
+        held >= F.col("hold_s"), "firing").otherwise("pending")
+    met = current.join(old, ["rule", "labels"], "full_outer").withColumn("since", since)
+    return met.select(
+        "rule", "labels", F.coalesce("severity", "_severity").alias("severity"), "value",
+        state.alias("state"), F.coalesce("_state", F.lit("normal")).alias("previous"), "since",
+        now.alias("evaluated_at"),
+    ).filter("state <> 'normal' or previous <> 'normal'")
+
+
 def alert_states(
     history: DataFrame, labels: Sequence[str], hold_s: int, interval_s: int
 ) -> DataFrame:

@@ -54,4 +54,5 @@ RETENTION_DAYS = {
     "sessions": 30,
     "quality_1m": 180,
     "element_1m": 180,
+    "alerts": 90,
 }

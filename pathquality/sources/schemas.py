@@ -77,6 +77,11 @@ JOURNAL = """
     live_from timestamp, state string, updated_at timestamp
 """
 
+ALERTS = """
+    rule string, labels string, severity string, value double, state string, previous string,
+    since timestamp, evaluated_at timestamp
+"""
+
 COMPACTIONS = "table_name string, day date, from_batch string"
 
 INVENTORY = {

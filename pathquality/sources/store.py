@@ -28,6 +28,7 @@ TABLES = {
     "sessions": schemas.SESSIONS,
     "quality_1m": schemas.QUALITY_1M,
     "element_1m": schemas.ELEMENT_1M,
+    "alerts": schemas.ALERTS,
 }
 
 # Which day a row belongs to, and the order inside a file that makes min/max statistics
@@ -40,6 +41,7 @@ DAY_OF = {
     "sessions": "session_start",
     "quality_1m": "minute",
     "element_1m": "minute",
+    "alerts": "evaluated_at",
 }
 SORT = {
     "halfflows": ("first_seen", "community_id"),
@@ -49,6 +51,7 @@ SORT = {
     "sessions": ("branch_id", "session_start", "community_id"),
     "quality_1m": ("minute", "branch_id", "app", "circuit_id"),
     "element_1m": ("element_type", "element_id", "minute"),
+    "alerts": ("evaluated_at", "rule", "labels"),
 }
 # Columns looked up by value: a bloom filter lets a reader skip row groups.
 BLOOM = {"sessions": ("community_id",)}
@@ -56,6 +59,7 @@ BLOOM = {"sessions": ("community_id",)}
 
 INGESTED = ("halfflows", "queue", "ingest_errors", "fault_events")  # written by ingest jobs
 INGEST = "ingest-"  # what the names of ingest jobs in the journal begin with
+ALERTING = "alerts"  # the job that writes the table of this name
 
 
 @dataclass(frozen=True)
@@ -196,8 +200,8 @@ class Store:
         The merged batch sorts right after the newest one it replaces, so it can hide
         neither a later batch nor, as none may be unfinished, one still to be redone.
         """
-        writers = F.col("job").startswith(INGEST)
-        writers = writers if table in INGESTED else ~writers
+        ingests, alerts = F.col("job").startswith(INGEST), F.col("job") == ALERTING
+        writers = ingests if table in INGESTED else alerts if table == ALERTING else ~(ingests | alerts)
         if not self._journal().filter(writers & (F.col("state") != "done")).isEmpty():
             raise RuntimeError("a planned batch is not finished; let its job repair it first")
         partial = self.read(table).filter(F.col("day") == F.lit(day))
