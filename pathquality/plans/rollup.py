@@ -6,6 +6,8 @@ partials happen to be split or compacted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +34,11 @@ def _on(condition: Column | str, value: Column | str) -> Column:
     return F.when(F.col(condition) if isinstance(condition, str) else condition, value)
 
 
-def quality_1m(sessions: DataFrame) -> DataFrame:
-    """Service quality by where traffic came from and what it was."""
+def quality_1m(sessions: DataFrame, keys: Sequence[str] = QUALITY_KEYS) -> DataFrame:
+    """Service quality by where traffic came from and what it was. Fewer keys give the same
+    rollup merged: far fewer rows for a reader that never asks for the others."""
     timed = sessions.withColumn("minute", minute_of("session_start"))
-    return timed.groupBy(*QUALITY_KEYS).agg(
+    return timed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if("degraded").alias("degraded"),
         F.count_if("net_degraded").alias("net_degraded"),
@@ -61,9 +64,11 @@ def merge_quality(partials: DataFrame) -> DataFrame:
 
 
 def element_1m(
-    sessions: DataFrame, path=PATH_COLUMNS, moment: str = "session_start"
+    sessions: DataFrame, path=PATH_COLUMNS, moment: str = "session_start",
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """The same sessions seen from every element on their path.
+    """The same sessions seen from every element on their path, or from a few (`only`, to be
+    broadcast).
 
     The bounded list of degraded applications is ranked from the degraded sessions alone,
     on the same keys, so it meets the counts without another shuffle.
@@ -76,7 +81,15 @@ def element_1m(
         "degraded",
         F.col("response_ms").alias("response"),
     ]
-    counted = explode_path(sessions, keep, path).groupBy(*ELEMENT_KEYS).agg(
+
+    def crossed(rows: DataFrame, columns: list) -> DataFrame:
+        steps = explode_path(rows, columns, path)
+        if only is None:
+            return steps
+        wanted = only.select("element_type", "element_id")
+        return steps.join(F.broadcast(wanted), ["element_type", "element_id"], "left_semi")
+
+    counted = crossed(sessions, keep).groupBy(*ELEMENT_KEYS).agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if("degraded").alias("degraded"),
         sk.quantile_state(F.col("response")).alias("response_ms"),
@@ -84,7 +97,7 @@ def element_1m(
         sk.distinct_state(_on("degraded", F.col("device_id"))).alias("degraded_devices"),
         sk.distinct_state(_on("degraded", F.col("branch_id"))).alias("degraded_branches"),
     )
-    hit = explode_path(sessions.filter("degraded"), keep[:2], path)
+    hit = crossed(sessions.filter("degraded"), keep[:2])
     return _with_apps(counted, bounded_distinct(hit, ELEMENT_KEYS, "via_app", MAX_APPS, APPS))
 
 
